@@ -1,0 +1,109 @@
+"""Exclusive running totals per key that stay exact and balanced when one key is very hot.
+
+Most keys fit one window partition. Keys above ``hot_rows`` are cut into time blocks: block totals are
+aggregated first (map-side combine), their running totals form a small table, and the window then runs
+inside (key, block).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+
+HOT_ROWS = 2_000_000
+BLOCK_MICROS = 60 * 1_000_000
+MAX_HOT_KEYS = 200_000
+
+
+def find_hot_keys(df: DataFrame, roles: dict[str, list[str]], hot_rows: int = HOT_ROWS) -> dict[str, DataFrame | None]:
+    """Hot keys of several roles in one job: ``{role: DataFrame of its key columns, or None}``.
+
+    ``roles`` maps a role to its key expressions, all of type string and equally many.
+    """
+    width = max(len(c) for c in roles.values())
+    keys = [f"_k{i}" for i in range(width)]
+    entries = [
+        F.struct(
+            F.lit(role).alias("_role"),
+            *[
+                (F.col(cols[i]) if i < len(cols) else F.lit(None).cast("string")).alias(keys[i])
+                for i in range(width)
+            ],
+        )
+        for role, cols in roles.items()
+    ]
+    counts = (
+        df.select(F.explode(F.array(*entries)).alias("e"))
+        .groupBy("e")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > hot_rows)
+        .select("e.*")
+    )
+    found = counts.limit(MAX_HOT_KEYS + 1).collect()
+    if len(found) > MAX_HOT_KEYS:
+        raise ValueError(f"more than {MAX_HOT_KEYS} keys exceed {hot_rows} rows: raise hot_rows")
+    out: dict[str, DataFrame | None] = {}
+    for role, cols in roles.items():
+        rows = [tuple(r[k] for k in keys[: len(cols)]) for r in found if r["_role"] == role]
+        schema = ", ".join(f"`{c}` string" for c in cols)
+        out[role] = df.sparkSession.createDataFrame(rows, schema) if rows else None
+    return out
+
+
+def exclusive_prefix(
+    rows: DataFrame,
+    keys: list[str],
+    pos: str,
+    tie: list[str],
+    sums: list[str],
+    lasts: list[str] = (),
+    hot: DataFrame | None = None,
+    ties: str = "order",
+    block_micros: int = BLOCK_MICROS,
+) -> DataFrame:
+    """Add ``before_<c>``: sum (or maximum, for ``lasts``) of c over the earlier rows of the same key.
+
+    ``pos`` is a bigint position in microseconds. ``ties="order"`` counts rows of the same position that
+    come first by ``tie``; ``ties="exclude"`` only counts rows with a strictly smaller position.
+    """
+    if hot is None:
+        part = list(keys)
+    else:
+        flagged = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
+        block = F.when(F.col("_hot"), F.floor(F.col(pos) / block_micros)).otherwise(F.lit(0))
+        rows = flagged.withColumn("_block", block.cast("long"))
+        part = [*keys, "_block"]
+
+    window = Window.partitionBy(*part)
+    if ties == "order":
+        window = window.orderBy(pos, *tie).rowsBetween(Window.unboundedPreceding, -1)
+    elif ties == "exclude":
+        window = window.orderBy(pos).rangeBetween(Window.unboundedPreceding, -1)
+    else:
+        raise ValueError("ties must be 'order' or 'exclude'")
+    local = rows.select(
+        "*",
+        *[F.coalesce(F.sum(c).over(window), F.lit(0)).alias(f"before_{c}") for c in sums],
+        *[F.max(c).over(window).alias(f"before_{c}") for c in lasts],
+    )
+    if hot is None:
+        return local
+
+    totals = (
+        rows.filter(F.col("_hot"))
+        .groupBy(*part)
+        .agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in lasts])
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *part,
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"offset_{c}") for c in sums],
+        *[F.max(c).over(earlier).alias(f"offset_{c}") for c in lasts],
+    )
+    joined = local.join(offsets, part, "left")
+    fixed = {f"before_{c}": F.col(f"before_{c}") + F.coalesce(F.col(f"offset_{c}"), F.lit(0)) for c in sums}
+    fixed |= {f"before_{c}": F.coalesce(F.col(f"before_{c}"), F.col(f"offset_{c}")) for c in lasts}
+    return joined.withColumns(fixed).drop("_hot", "_block", *[f"offset_{c}" for c in [*sums, *lasts]])
+
+
