@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["history"]
+MODULES = ["eda", "history", "graph"]
 
 
 def _merged(attribute: str) -> dict:
