@@ -58,7 +58,7 @@ def rank_cutoffs(
         *[o.alias(f"o{i}") for i, o in enumerate(order)],
     )
     counts = keyed.groupBy("g", "b").agg(F.count(F.lit(1)).alias("n"))
-    by_bucket = Window.partitionBy("g").orderBy("b")
+    by_bucket = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
     wanted = F.array(
         *[F.struct(F.lit(i).alias("target"), r(F.col("size")).cast("long").alias("rank")) for i, r in enumerate(ranks)]
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["eda", "history", "graph", "evaluation"]
+MODULES = ["eda", "history", "graph", "evaluation", "learning"]
 
 
 def _merged(attribute: str) -> dict:
