@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["eda", "history", "graph", "evaluation", "learning"]
+MODULES = ["eda", "history", "graph", "evaluation", "learning", "clusters", "streams"]
 
 
 def _merged(attribute: str) -> dict:

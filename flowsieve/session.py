@@ -67,7 +67,7 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,
-    key: str,
+    key: str | list[str],
     max_rows: int = BROADCAST_ROWS,
     hot_rows: int = 2_000_000,
     salts: int = 64,
@@ -77,22 +77,21 @@ def lookup_join(
     A table with at most ``max_rows`` rows is broadcast. A larger one is joined by key, and keys
     with more than ``hot_rows`` rows on the left are spread over ``salts`` tasks.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     if has_at_most(table, max_rows):
-        return rows.join(F.broadcast(table), key, "left")
-    hot = rows.groupBy(key).count().filter(F.col("count") > hot_rows).select(key)
+        return rows.join(F.broadcast(table), keys, "left")
+    hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
     if hot.isEmpty():
-        return rows.join(table, key, "left")
+        return rows.join(table, keys, "left")
     if not has_at_most(hot, max_rows):
         raise ValueError(f"more than {max_rows} keys exceed {hot_rows} rows: raise hot_rows")
     flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    spread = rows.join(flag, key, "left").withColumn(
+    spread = rows.join(flag, keys, "left").withColumn(
         "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")).otherwise(0),
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")).otherwise(F.lit(0)),
     )
-    copies = table.join(flag, key, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    copies = table.join(flag, keys, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
     )
-    return spread.drop("_hot").join(copies.drop("_hot"), [key, "_salt"], "left").drop("_salt")
+    return spread.drop("_hot").join(copies.drop("_hot"), [*keys, "_salt"], "left").drop("_salt")
