@@ -6,6 +6,8 @@ approximate quantiles into slices, and the window runs inside a slice with the e
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +44,8 @@ def running(
     ``leads`` adds ``next_<c>``, the figure of the next distinct value (NULL on the last one).
     ``counts`` has one row per group and value.
     """
+    # Far smaller than the rows behind it, and needed more than once.
+    counts = written(counts, "value-counts")
     order = F.desc(value) if descending else F.asc(value)
     whole = Window.partitionBy(*(groups or [F.lit(0)]))
     ordered = whole.orderBy(order)
@@ -97,18 +101,25 @@ def quantiles(
     known = df.filter(F.col(value).isNotNull()).select(*groups, value)
     counts = value_counts(known, groups, value, {"n": F.lit(1)})
     steps = running(counts, groups, value, ["n"], **options)
-    asked = steps.select(
-        *groups, value, "n", "cum_n", "total_n", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p")
-    )
+
+    def holds(k: Column) -> Column:
+        return (F.col("cum_n") - F.col("n") <= k) & (k < F.col("cum_n"))
+
+    def wanted(p) -> Column:
+        place = (F.col("total_n") - 1) * p
+        return holds(F.floor(place)) | holds(F.ceil(place))
+
+    asked = [float(p) for p in probabilities]
+    # Only the values at a wanted place go on; the others are gone before anything is multiplied.
+    near = steps.filter(reduce(lambda a, b: a | b, [wanted(F.lit(p)) for p in asked]))
     place = (F.col("total_n") - 1) * F.col("p")
-    holds = lambda k: (F.col("cum_n") - F.col("n") <= k) & (k < F.col("cum_n"))
     picked = (
-        asked.withColumn("place", place)
-        .filter(holds(F.floor("place")) | holds(F.ceil("place")))
-        .groupBy(*groups, "p", "place")
+        near.select(*groups, value, "n", "cum_n", "total_n", F.explode(F.array(*[F.lit(p) for p in asked])).alias("p"))
+        .filter(wanted(F.col("p")))
+        .groupBy(*groups, "p", place.alias("place"))
         .agg(
-            F.max(F.when(holds(F.floor("place")), F.col(value))).alias("low"),
-            F.max(F.when(holds(F.ceil("place")), F.col(value))).alias("high"),
+            F.max(F.when(holds(F.floor(place)), F.col(value))).alias("low"),
+            F.max(F.when(holds(F.ceil(place)), F.col(value))).alias("high"),
         )
     )
     share = F.col("place") - F.floor("place")

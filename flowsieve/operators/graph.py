@@ -8,7 +8,7 @@ map-side, so a hub account does not land in one task.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from flowsieve.functions import columns as C
@@ -158,20 +158,23 @@ def pagerank(
                     F.lit(base) + F.lit(damping) * F.coalesce(F.col("flow"), F.lit(0.0)) - F.col("rank")
                 ).alias("change"),
             )
-            step = written(step, "pagerank-ranks")
+            # Both figures are observed while the ranks are written: no second pass.
+            seen = Observation()
+            step = written(
+                step.observe(
+                    seen,
+                    F.sum("change").alias("change"),
+                    F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0)).alias("loose"),
+                ),
+                "pagerank-ranks",
+            )
             ranks = step.select("node", "out_degree", "rank")
-            if round_no == max_rounds and tolerance is None:
-                break
-            seen = step.agg(
-                F.sum("change").alias("change"),
-                F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0)).alias("loose"),
-            ).first()
-            loose = seen["loose"]
+            change, loose = seen.get["change"], seen.get["loose"]
             if tolerance is not None:
-                if seen["change"] < n * tolerance:
+                if change < n * tolerance:
                     break
                 if round_no == max_rounds:
-                    raise RuntimeError(f"ranks did not converge in {max_rounds} rounds (change {seen['change']})")
+                    raise RuntimeError(f"ranks did not converge in {max_rounds} rounds (change {change})")
     finally:
         if not small:
             links.unpersist()

@@ -107,9 +107,9 @@ ALL_SPECS = [LOGISTIC, TREE, SVM, FOREST_GRAPH, FOREST, BOOSTING, BOOSTING_GRAPH
 
 def score_vectors(model, vectors: DataFrame, column: str = "score") -> DataFrame:
     """``vectors`` without the vector, plus the class-1 probability (or the decision value without one)."""
-    out = model.transform(vectors)
+    out = model.transform(vectors.drop(column))
     source = "probability" if "probability" in out.columns else "rawPrediction"
-    keep = [c for c in vectors.columns if c != "features"]
+    keep = [c for c in vectors.columns if c not in ("features", column)]
     return out.select(*keep, vector_to_array(source)[1].alias(column))
 
 

@@ -100,7 +100,10 @@ def _nearest_sql(source: str, a: str, b: str, centroids) -> str:
 
 
 def txn_clusters(spark, sf_dir):
-    rows = featured(spark, sf_dir)
+    rows = featured(spark, sf_dir).select(
+        "from_account_id", "to_account_id", "amount_paid", "amount_received", "log_amount_paid", "hour", "from_bank", "is_laundering"
+    )
+    rows = written(rows, "rows")
     pairs = written(G.pair_table(rows), "pairs")
     rows = lookup_join(rows, G.sender_aggregates(pairs).select("from_account_id", "sender_out_degree"), "from_account_id")
     points = rows.withColumn("x", F.array(F.col("log_amount_paid"), F.col("hour") / F.lit(4.0)))
@@ -109,7 +112,8 @@ def txn_clusters(spark, sf_dir):
 
 def txn_cluster_profile(spark, sf_dir):
     """Profiles of two groupings stacked: nearest centroid and bank."""
-    rows = written(txn_clusters(spark, sf_dir), "txn-clusters")
+    rows = txn_clusters(spark, sf_dir).select("cluster", "from_bank", "is_laundering", "amount_paid", "sender_out_degree")
+    rows = written(rows, "txn-clusters")
     rows = rows.withColumns({"cluster": F.col("cluster").cast("string"), "bank_cluster": F.col("from_bank").cast("string")})
     nearest = K.transaction_profile(rows, "cluster", "nearest")
     bank = K.transaction_profile(rows, "bank_cluster", "bank")

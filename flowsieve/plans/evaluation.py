@@ -24,11 +24,16 @@ def scored(spark, sf_dir):
     return payments(spark, sf_dir).select(KEY, "ts", "is_laundering", "score", "score_b", "payment_format")
 
 
+def stored(spark, sf_dir):
+    """The scored table written once, for queries that read it several times."""
+    return written(scored(spark, sf_dir), "scored")
+
+
 # ---------------------------------------------------------------- samples and splits
 
 
 def model_sample(spark, sf_dir):
-    return X.case_control_sample(scored(spark, sf_dir), KEY, 10_000).select(KEY, "is_laundering")
+    return X.case_control_sample(stored(spark, sf_dir), KEY, 10_000).select(KEY, "is_laundering")
 
 
 def draw_sql(key: str, seed: int) -> str:
@@ -63,7 +68,7 @@ FOLDS_SQL = f"""fold_rows AS MATERIALIZED (SELECT * EXCLUDE (draw_rank, label_n)
 
 
 def natural_sample(spark, sf_dir):
-    rows = X.stratified_split(scored(spark, sf_dir), KEY)
+    rows = X.stratified_split(stored(spark, sf_dir), KEY)
     holdout = rows.filter(F.col("split") == "test")
     return X.natural_prior_sample(rows, holdout, KEY, exclude=rows.filter(F.col("split") == "train"))
 
@@ -151,7 +156,7 @@ def _thresholds(train):
 
 
 def metrics_by_split(spark, sf_dir):
-    rows = model_rows(X.stratified_split(scored(spark, sf_dir), KEY)).drop("ts", "payment_format")
+    rows = model_rows(X.stratified_split(stored(spark, sf_dir), KEY)).drop("ts", "payment_format")
     thresholds = _thresholds(rows.filter(F.col("split") == "train"))
     every = rows.withColumn("split", F.explode(F.array(F.col("split"), F.lit("full"))))
     return _rounded(M.metrics_table(every, thresholds, ["model", "split"]), [*RATE_COLUMNS, "pr_auc", "roc_auc"])
@@ -175,14 +180,16 @@ def _test_metrics(spark, sf_dir):
 
 
 def class_report(spark, sf_dir):
-    best = M.best_f1_threshold(scored(spark, sf_dir)).first()["threshold"]
-    report = M.class_report(M.confusion_counts(scored(spark, sf_dir), best))
+    rows = stored(spark, sf_dir)
+    best = M.best_f1_threshold(rows).first()["threshold"]
+    report = M.class_report(M.confusion_counts(rows, best))
     return _rounded(report, ["precision", "recall", "f1"])
 
 
 def threshold_sweep(spark, sf_dir):
-    best = M.best_f1_threshold(scored(spark, sf_dir)).first()["threshold"]
-    sweep = M.threshold_sweep(scored(spark, sf_dir), best)
+    rows = stored(spark, sf_dir)
+    best = M.best_f1_threshold(rows).first()["threshold"]
+    sweep = M.threshold_sweep(rows, best)
     return _rounded(sweep, ["alert_rate", "alerts_per_10k", "precision", "recall", "f1"])
 
 
@@ -199,7 +206,7 @@ FROM (SELECT *, {_RATES} FROM counts)"""
 
 
 def natural_evaluation(spark, sf_dir):
-    rows = X.stratified_split(scored(spark, sf_dir), KEY)
+    rows = X.stratified_split(stored(spark, sf_dir), KEY)
     train, holdout = (rows.filter(F.col("split") == s) for s in ("train", "test"))
     threshold = M.best_f1_threshold(train).first()["threshold"]
     natural = X.natural_prior_sample(rows, holdout, KEY, exclude=train).withColumn(
@@ -255,7 +262,7 @@ BLENDS = {"single": [0.0, 1.0], "blend": [0.25, 0.5, 0.75]}
 
 
 def candidate_rank(spark, sf_dir):
-    rows = X.stratified_folds(scored(spark, sf_dir), KEY)
+    rows = X.stratified_folds(stored(spark, sf_dir), KEY)
     candidates = [
         F.struct(
             F.lit(feature_set).alias("feature_set"),
@@ -287,7 +294,7 @@ SELECT feature_set, params, round(m, 9) AS mean_pr_auc, round(sd, 9) AS std_pr_a
 
 
 def log_upsert(spark, sf_dir):
-    rows = X.chronological_split(scored(spark, sf_dir), [KEY])
+    rows = X.chronological_split(stored(spark, sf_dir), [KEY])
 
     def log(part, attempt):
         return part.groupBy(F.col("payment_format").alias("stage")).agg(
@@ -321,13 +328,13 @@ QUANTILES = [0.0, 0.25, 0.5, 0.9, 0.95, 0.975, 0.999, 1.0]
 
 QUERIES = {
     "model_sample": model_sample,
-    "bounded_sample": lambda spark, d: X.smallest_draws(scored(spark, d), KEY, 12_000).select(KEY, "score"),
-    "stratified_split": lambda spark, d: X.stratified_split(scored(spark, d), KEY).select(KEY, "split"),
-    "nested_split": lambda spark, d: X.nested_split(scored(spark, d), KEY).select(KEY, "split"),
-    "stratified_folds": lambda spark, d: X.stratified_folds(scored(spark, d), KEY).select(KEY, "fold"),
-    "chrono_split": lambda spark, d: X.chronological_split(scored(spark, d), [KEY]).select(KEY, "split"),
+    "bounded_sample": lambda spark, d: X.smallest_draws(stored(spark, d), KEY, 12_000).select(KEY, "score"),
+    "stratified_split": lambda spark, d: X.stratified_split(stored(spark, d), KEY).select(KEY, "split"),
+    "nested_split": lambda spark, d: X.nested_split(stored(spark, d), KEY).select(KEY, "split"),
+    "stratified_folds": lambda spark, d: X.stratified_folds(stored(spark, d), KEY).select(KEY, "fold"),
+    "chrono_split": lambda spark, d: X.chronological_split(stored(spark, d), [KEY]).select(KEY, "split"),
     "split_audit": lambda spark, d: _rounded(
-        M.split_audit(X.chronological_split(scored(spark, d), [KEY])), ["positive_rate"]
+        M.split_audit(X.chronological_split(stored(spark, d), [KEY])), ["positive_rate"]
     ),
     "natural_sample": lambda spark, d: natural_sample(spark, d).select(KEY, "is_laundering"),
     "confusion_counts": lambda spark, d: M.confusion_counts(scored(spark, d), THRESHOLD),
