@@ -212,26 +212,27 @@ def graph_features(
 
     ``history = target`` is the retrospective set, a training period is the frozen snapshot.
     """
-    base = target.columns
     pairs = written(pair_table(history), "pairs")
-    rows = lookup_join(target, sender_aggregates(pairs), "from_account_id")
-    rows = lookup_join(rows, receiver_aggregates(pairs), "to_account_id")
-    rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("double") for c in GRAPH_NUMERIC[:8]})
-    rows = rows.withColumn(
-        "sent_received_ratio", F.col("sender_total_sent") / (F.col("receiver_total_received") + F.lit(1e-6))
-    )
     edges = pairs.select("src", "dst") if max_edges is None else edge_list(history, max_edges=max_edges, key=key, seed=seed)
     nodes = written(graph_nodes(edges, **pagerank_options), "graph-nodes")
-    rows = attach_node_scores(
-        rows,
-        nodes,
-        {
-            "rank": ("sender_pagerank", "receiver_pagerank"),
-            "out_degree": ("sample_sender_out_degree", None),
-            "in_degree": (None, "sample_receiver_in_degree"),
-        },
+    # Everything about an account is joined account by account first: the rows are joined twice, not four times.
+    sender_nodes = nodes.select(
+        F.col("node").alias("from_account_id"),
+        F.col("rank").alias("sender_pagerank"),
+        F.col("out_degree").alias("sample_sender_out_degree"),
+    )
+    receiver_nodes = nodes.select(
+        F.col("node").alias("to_account_id"),
+        F.col("rank").alias("receiver_pagerank"),
+        F.col("in_degree").alias("sample_receiver_in_degree"),
     )
-    return rows.select(*base, *GRAPH_NUMERIC)
+    senders = written(sender_aggregates(pairs).join(sender_nodes, "from_account_id", "full"), "senders")
+    receivers = written(receiver_aggregates(pairs).join(receiver_nodes, "to_account_id", "full"), "receivers")
+    rows = lookup_join(lookup_join(target, senders, "from_account_id"), receivers, "to_account_id")
+    known = [c for c in GRAPH_NUMERIC if c != "sent_received_ratio"]
+    rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("double") for c in known})
+    ratio = F.col("sender_total_sent") / (F.col("receiver_total_received") + F.lit(1e-6))
+    return rows.withColumn("sent_received_ratio", ratio).select(*target.columns, *GRAPH_NUMERIC)
 
 
 def retrospective_features(df: DataFrame, **options) -> DataFrame:
