@@ -112,7 +112,9 @@ _ACCOUNT_COLUMNS = ["account_id", *ACCOUNT_NUMERIC, *[f"log_abs_{c}" for c in AC
 
 
 def account_features(spark, sf_dir):
-    return _rounded(A.account_features(featured(spark, sf_dir, SPARSE_ACCOUNTS)), ["account_id"])
+    """Sums are decimal and ratios plain divisions, equal to the last bit; only logarithms are rounded."""
+    accounts = A.account_features(featured(spark, sf_dir, SPARSE_ACCOUNTS))
+    return accounts.withColumns({f"log_abs_{c}": F.round(f"log_abs_{c}", 6) for c in ACCOUNT_LOGGED})
 
 
 PEAKS_SQL = """peaks AS (SELECT account_id, max(n) FILTER (sending = 1) AS max_sent_per_hour,
@@ -140,11 +142,7 @@ accounts AS (SELECT *, CAST(received_count AS DOUBLE) / (sent_count + 1) AS in_o
     CAST(unique_receivers + 1 AS DOUBLE) / (unique_senders + 1) AS scatter_gather_score FROM joined),
 account_table AS (SELECT *, {', '.join(f'ln(1 + abs({c})) AS log_abs_{c}' for c in ACCOUNT_LOGGED)} FROM accounts)"""
 
-_COUNT_COLUMNS = {
-    "account_id", "sent_count", "received_count", "unique_receivers", "unique_senders", "max_sent_per_hour",
-    "max_received_per_hour", "account_laundering",
-}
-_ACCOUNT_OUT = ", ".join(c if c in _COUNT_COLUMNS else f"round({c}, 6) AS {c}" for c in _ACCOUNT_COLUMNS)
+_ACCOUNT_OUT = ", ".join(f"round({c}, 6) AS {c}" if c.startswith("log_abs_") else c for c in _ACCOUNT_COLUMNS)
 
 
 def account_sample(spark, sf_dir, max_negatives=20_000):
