@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowsieve.llm import exact, near
+from flowsieve.llm import exact, near, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,12 +23,35 @@ OP2_SQL = """WITH d AS (
 SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
   doc_id = max(doc_id) OVER (PARTITION BY norm) AS kept, sha256(norm) AS text_sha256 FROM d"""
 
+def op3_substring_dedup(spark, sf_dir):
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+OP3_SQL = """WITH w AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words FROM documents)),
+r AS (
+  SELECT *, array_to_string(list(word) OVER ahead, ' ') AS run, count(*) OVER ahead AS n FROM w
+  WINDOW ahead AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+f AS (
+  SELECT doc_id, word, pos, n = 13 AND min(doc_id) OVER (PARTITION BY run, n) < doc_id AS hit FROM r),
+c AS (
+  SELECT doc_id, word, pos, bool_or(hit) OVER (
+    PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS gone FROM f),
+k AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (gone) AS n_removed,
+    coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone), '') AS kept FROM c GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256 FROM documents d LEFT JOIN k USING (doc_id)"""
+
+
 def op8_near_dedup(spark, sf_dir):
     return near.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op8_near_dedup": op8_near_dedup,
 }
-SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL}
+SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL}
