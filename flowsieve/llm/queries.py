@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowsieve.llm import exact, near, substring
+from flowsieve.llm import exact, near, packing, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,17 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
   sha256(coalesce(kept, '')) AS kept_sha256 FROM documents d LEFT JOIN k USING (doc_id)"""
 
 
+def word_tokenizer() -> str:
+    """Path of the public tokenizer whose white space carries no tokens."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_pattern_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
+
+
 def op8_near_dedup(spark, sf_dir):
     return near.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
 
@@ -52,6 +63,7 @@ def op8_near_dedup(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_pattern_packing": op4_pattern_packing,
     "op8_near_dedup": op8_near_dedup,
 }
 SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL}
