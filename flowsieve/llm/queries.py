@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowsieve.llm import exact, near, packing, substring
+from flowsieve.llm import exact, lm, near, packing, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,17 @@ def op4_pattern_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def piece_vocabulary() -> str:
+    """Path of the public piece vocabulary with scores."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op7_lattice_score(spark, sf_dir):
+    return lm.score_texts(table(spark, sf_dir, "documents"), piece_vocabulary())
+
+
 def op8_near_dedup(spark, sf_dir):
     return near.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
 
@@ -64,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_pattern_packing": op4_pattern_packing,
+    "op7_lattice_score": op7_lattice_score,
     "op8_near_dedup": op8_near_dedup,
 }
 SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL}
