@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowsieve.llm.lattice import Vocabulary
-from flowsieve.llm.words import Words, canonical, chunks, mix
+from flowsieve.llm.words import Words, canonical, chunks, mix, slices
 from flowsieve.session import written
 
 _CHUNK = 4 << 20
@@ -64,7 +64,7 @@ def cut_chunks(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         press, part, count = zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in slices(batches, 2, _CHUNK):
             ids, held = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             words = [canonical(t).lower() for t in batch.column(2).to_pylist()]
             for i, j in chunks(words, _CHUNK):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowsieve.llm.links import components
-from flowsieve.llm.words import CHUNK_BYTES, Words, canonical, chunks, mix
+from flowsieve.llm.words import CHUNK_BYTES, Words, canonical, chunks, mix, slices
 from flowsieve.session import written
 
 #: Document frequencies are kept in this many rows of this many counters, whatever the size of the corpus.
@@ -46,7 +46,7 @@ def frequency_sketch(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
 
     def count(batches):
         total, docs = np.zeros((SKETCH_ROWS, SKETCH_SLOTS), np.int64), 0
-        for batch in batches:
+        for batch in slices(batches, 0):
             texts = [canonical(t) for t in batch.column(0).to_pylist()]
             docs += len(texts)
             for i, j in chunks(texts):
@@ -138,7 +138,7 @@ def sign(texts: DataFrame, weights: Weights, bands: int) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             words = [canonical(t) for t in batch.column(1).to_pylist()]
             keys = []
             for i, j in chunks(words):
@@ -164,7 +164,7 @@ def _packed(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in slices(batches, 0):
             words = [canonical(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_digest(w) for w in words], pa.binary()), pa.array([pack.compress(w) for w in words])],

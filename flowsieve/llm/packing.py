@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowsieve.llm.patterns import plan
-from flowsieve.llm.words import Words, canonical, chunks
+from flowsieve.llm.words import Words, canonical, chunks, slices
 from flowsieve.session import lookup_join, written
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -76,7 +76,7 @@ def token_pieces(
         content = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             docs, out = batch.column(0).to_pylist(), []
             texts = [canonical(t) for t in batch.column(1).to_pylist()]
             for i, j in chunks(texts):

@@ -6,6 +6,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Texts are worked on in pieces of about this many bytes, so that a task's temporary arrays stay small.
 CHUNK_BYTES = 1 << 20
@@ -30,6 +32,18 @@ def chunks(texts: list, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in smaller batches, of about ``limit`` bytes of text each; none is empty."""
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = int(size[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(size, before + limit, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread 64-bit values (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
