@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowsieve.llm import exact, lm, near, packing, substring, toxicity
+from flowsieve.llm import exact, language, lm, near, packing, substring, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,11 @@ def op4_pattern_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def op5_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.learn(docs))
+
+
 def op6_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_texts(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_pattern_packing": op4_pattern_packing,
+    "op5_language": op5_language,
     "op6_toxicity": op6_toxicity,
     "op7_lattice_score": op7_lattice_score,
     "op8_near_dedup": op8_near_dedup,

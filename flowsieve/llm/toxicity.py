@@ -9,21 +9,14 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowsieve.llm.words import CHUNK_BYTES, Words, _powers, chunks, mix, slices
+from flowsieve.llm.words import CHUNK_BYTES, Words, _powers, chunks, letters, mix, slices
 from flowsieve.session import written
 
-#: ASCII that parts words; letters of other scripts never do.
-_PARTS = bytes(i if i > 127 or chr(i).isalpha() else 32 for i in range(256))
 PREFIXES = (4, 5, 6, 7)
 #: Places of the table that leads from a feature to its number.
 _TABLE_BITS = 20
 
 
-def letters(text: str | None) -> bytes:
-    """Lower-cased words of letters, joined by one space."""
-    return b" ".join((text or "").lower().encode("utf-8", "surrogatepass").translate(_PARTS).split())
-
-
 def features(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, feature, parent) of every word and of its first bytes: a stem tells more than its many endings.
 
