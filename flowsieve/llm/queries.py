@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowsieve.llm import exact, language, lm, near, packing, substring, toxicity
+from flowsieve.llm import exact, language, lm, near, packing, substring, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,20 @@ def op8_near_dedup(spark, sf_dir):
     return near.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
 
 
+def op9_maxscore(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+OP9_SQL = """WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score FROM s QUALIFY rank <= 5"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_substring_dedup": op3_substring_dedup,
@@ -89,5 +103,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_lattice_score": op7_lattice_score,
     "op8_near_dedup": op8_near_dedup,
+    "op9_maxscore": op9_maxscore,
 }
-SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL}
+SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op9_maxscore": OP9_SQL}
