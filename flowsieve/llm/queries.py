@@ -5,14 +5,58 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowsieve.llm import exact, language, lm, near, packing, substring, topk, toxicity
+from flowsieve.llm import exact, language, licences, lm, mixing, near, packing, substring, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_source_mixing(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.withColumn("probability", F.round("probability", 6))
+
+
+def _raked_sql(rounds: int = 10, power: float = 0.7) -> str:
+    """The rounds of the fitting, one common table expression per margin and round."""
+    steps, last = [], "goals"
+    for k in range(rounds):
+        for margin in ("source", "lang", "topic"):
+            steps.append(
+                f"{margin}_{k} AS (SELECT * REPLACE (weight * goal_{margin} / sum(weight) OVER (PARTITION BY {margin})"
+                f" AS weight) FROM {last})"
+            )
+            last = f"{margin}_{k}"
+    goals = ", ".join(
+        f"(SELECT power(sum(c.tokens), {power}) FROM cells c WHERE c.{m} = cells.{m}) / "
+        f"(SELECT sum(t) FROM (SELECT power(sum(tokens), {power}) AS t FROM cells GROUP BY {m})) AS goal_{m}"
+        for m in ("source", "lang", "topic")
+    )
+    return f"""WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+    CASE WHEN contains(text, ' | ') THEN 'table' WHEN contains(text, '!! ') THEN 'shouting'
+      WHEN contains(text, '*** ') OR contains(text, '%%% ') THEN 'noise' WHEN length(text) >= 10000 THEN 'long'
+      ELSE 'prose' END AS topic,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens FROM documents),
+cells AS (
+  SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS tokens FROM d WHERE n_tokens > 0 GROUP BY ALL),
+goals AS (SELECT *, tokens / sum(tokens) OVER () AS weight, {goals} FROM cells),
+{", ".join(steps)},
+ratios AS (SELECT *, weight / tokens AS ratio FROM {last}),
+scales AS (
+  SELECT *, (0.5 * sum(tokens) OVER () - coalesce(sum(tokens) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS scale
+  FROM ratios WINDOW o AS (ORDER BY ratio DESC, source, lang, topic)),
+chosen AS (SELECT arg_max(scale, ratio) AS scale FROM scales WHERE scale * ratio <= 1),
+p AS (
+  SELECT d.*, coalesce(least(1.0, ratio * coalesce((SELECT scale FROM chosen), CAST('inf' AS DOUBLE))), 1.0) AS p
+  FROM d LEFT JOIN ratios USING (source, lang, topic))
+SELECT doc_id, source, lang, topic, n_tokens, round(p, 6) AS probability,
+  CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) < p * 4294967296.0 AS sampled FROM p"""
+
+
 def op2_exact_dedup(spark, sf_dir):
     return exact.content_sort(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -95,7 +139,12 @@ s AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
   vec_id, score FROM s QUALIFY rank <= 5"""
 
+def op10_licence_scan(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mixing": op1_source_mixing,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_pattern_packing": op4_pattern_packing,
@@ -104,5 +153,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_lattice_score": op7_lattice_score,
     "op8_near_dedup": op8_near_dedup,
     "op9_maxscore": op9_maxscore,
+    "op10_licence_scan": op10_licence_scan,
+}
+SQL: dict[str, str] = {
+    "op1_source_mixing": _raked_sql(),
+    "op2_exact_dedup": OP2_SQL,
+    "op3_substring_dedup": OP3_SQL,
+    "op9_maxscore": OP9_SQL,
 }
-SQL: dict[str, str] = {"op2_exact_dedup": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op9_maxscore": OP9_SQL}
