@@ -7,8 +7,7 @@ map-side, so a hub account does not land in one task.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowsieve.functions import columns as C
@@ -93,9 +92,9 @@ def _spread_links(edges: DataFrame, nodes: DataFrame, hot_degree: int, salts: in
     links = edges.select(F.col("src").alias("node"), "dst")
     if hot.isEmpty():
         return links.withColumn("_salt", F.lit(0)), None
-    if not has_at_most(hot, BROADCAST_ROWS):
-        raise ValueError(f"more than {BROADCAST_ROWS} nodes have over {hot_degree} edges: raise hot_degree")
-    flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    flag = hot.withColumn("_hot", F.lit(True))
+    if has_at_most(hot, BROADCAST_ROWS):
+        flag = F.broadcast(flag)
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("dst"), F.lit(salts)).cast("int")).otherwise(F.lit(0))
     return links.join(flag, "node", "left").select("node", "dst", salt.alias("_salt")), hot
 
@@ -129,55 +128,44 @@ def pagerank(
     else:
         links, hot = _spread_links(edges, ranks, hot_degree, salts)
         parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        # Shuffled once for all rounds.
-        links = links.repartition(parts, "node", "_salt").persist(StorageLevel.DISK_ONLY)
+        # Shuffled and sorted once, into the shared folder: a lost executor costs no round.
+        links = written(links.repartition(parts, "node", "_salt").sortWithinPartitions("node", "_salt"), "pagerank-links")
     ranks = ranks.withColumn("rank", F.lit(1.0 / n))
     loose = ranks.filter(F.col("out_degree") == 0).count() / n
-    try:
-        for round_no in range(1, max_rounds + 1):
-            shares = ranks.filter(F.col("out_degree") > 0).select(
-                "node", (F.col("rank") / F.col("out_degree")).alias("share")
+    for round_no in range(1, max_rounds + 1):
+        shares = ranks.filter(F.col("out_degree") > 0).select(
+            "node", (F.col("rank") / F.col("out_degree")).alias("share")
+        )
+        if small:
+            sent = links.join(F.broadcast(shares), "node")
+        elif hot is None:
+            sent = links.join(shares.withColumn("_salt", F.lit(0)), ["node", "_salt"])
+        else:
+            every = F.sequence(F.lit(0), F.lit(salts - 1))
+            copies = shares.join(hot.withColumn("_hot", F.lit(True)), "node", "left").select(
+                "node", "share", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))).alias("_salt")
             )
-            if small:
-                sent = links.join(F.broadcast(shares), "node")
-            elif hot is None:
-                sent = links.join(shares.withColumn("_salt", F.lit(0)), ["node", "_salt"])
-            else:
-                every = F.sequence(F.lit(0), F.lit(salts - 1))
-                copies = shares.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), "node", "left").select(
-                    "node", "share", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))).alias("_salt")
-                )
-                sent = links.join(copies, ["node", "_salt"])
-            flow = sent.groupBy(F.col("dst").alias("node")).agg(F.sum("share").alias("flow"))
-            base = (1.0 - damping) / n + damping * loose / n
-            step = ranks.join(flow, "node", "left").select(
-                "node",
-                "out_degree",
-                (F.lit(base) + F.lit(damping) * F.coalesce(F.col("flow"), F.lit(0.0))).alias("rank"),
-                F.abs(
-                    F.lit(base) + F.lit(damping) * F.coalesce(F.col("flow"), F.lit(0.0)) - F.col("rank")
-                ).alias("change"),
-            )
-            # Both figures are observed while the ranks are written: no second pass.
-            seen = Observation()
-            step = written(
-                step.observe(
-                    seen,
-                    F.sum("change").alias("change"),
-                    F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0)).alias("loose"),
-                ),
-                "pagerank-ranks",
-            )
-            ranks = step.select("node", "out_degree", "rank")
-            change, loose = seen.get["change"], seen.get["loose"]
-            if tolerance is not None:
-                if change < n * tolerance:
-                    break
-                if round_no == max_rounds:
-                    raise RuntimeError(f"ranks did not converge in {max_rounds} rounds (change {change})")
-    finally:
-        if not small:
-            links.unpersist()
+            sent = links.join(copies, ["node", "_salt"])
+        flow = sent.groupBy(F.col("dst").alias("node")).agg(F.sum("share").alias("flow"))
+        base = (1.0 - damping) / n + damping * loose / n
+        step = ranks.join(flow, "node", "left").select(
+            "node",
+            "out_degree",
+            (F.lit(base) + F.lit(damping) * F.coalesce(F.col("flow"), F.lit(0.0))).alias("rank"),
+            F.abs(
+                F.lit(base) + F.lit(damping) * F.coalesce(F.col("flow"), F.lit(0.0)) - F.col("rank")
+            ).alias("change"),
+        )
+        step = written(step, "pagerank-ranks")
+        ranks = step.select("node", "out_degree", "rank")
+        change, loose = step.agg(
+            F.sum("change"), F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0))
+        ).first()
+        if tolerance is not None:
+            if change < n * tolerance:
+                break
+            if round_no == max_rounds:
+                raise RuntimeError(f"ranks did not converge in {max_rounds} rounds (change {change})")
     return ranks.select("node", "rank")
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from flowsieve.operators import metrics as M
 from flowsieve.operators.preparation import Preparation, fit_preparation
 from flowsieve.operators.reports import top_k
-from flowsieve.session import written
+from flowsieve.session import scratch_path, written
 from flowsieve.sources.schema import BASE_NUMERIC, CATEGORICAL, GRAPH_NUMERIC
 
 SEED = 42
@@ -132,12 +132,22 @@ class Fitted:
         return top_k(table, "importance", k, "feature")
 
 
+def without_summary(model):
+    """The model saved to the shared folder and loaded again.
+
+    A freshly fitted model keeps its training summary, which holds the session; scoring would ship both to the tasks.
+    """
+    path = scratch_path(SparkSession.active(), "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def fit_vectors(spec: Spec, vectors: DataFrame, overrides: dict | None = None):
     """Fit on a written table of ``is_laundering``, ``weight`` and ``features``."""
     rows = vectors.count()
     if not spec.balanced:
         vectors = vectors.withColumn("weight", F.lit(1.0))
-    return spec.estimator(rows, **(overrides or {})).fit(vectors)
+    return without_summary(spec.estimator(rows, **(overrides or {})).fit(vectors))
 
 
 def fit_model(

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from flowsieve.operators import metrics as M
@@ -65,6 +66,20 @@ def test_models_beat_the_base_rate(rows, model):
     assert ap["pr_auc"] > 0.25 and ap["roc_auc"] > 0.75
 
 
+@pytest.mark.parametrize(
+    "model",
+    [spec(L._logistic), spec(L._svm), spec(L._forest, n_estimators=5, max_depth=4)],
+    ids=lambda s: s.name,
+)
+def test_scores_can_be_written_after_an_observation(spark, rows, tmp_path, model):
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 1500
+    path = str(tmp_path / "scores")
+    L.fit_model(model, rows.filter("split = 'fit'")).score(rows).write.parquet(path)
+    assert spark.read.parquet(path).filter("score is not null").count() == 1500
+
+
 def test_same_seed_same_scores(rows):
     model = spec(L._forest, n_estimators=5, max_depth=5)
     a, b = (
