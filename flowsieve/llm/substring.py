@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowsieve.llm.words import Words, canonical, chunks, mix
+from flowsieve.llm.words import Words, canonical, chunks, mix, slices
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _CHUNK = 2 << 20
@@ -109,14 +109,14 @@ def _pack(texts: list[bytes], docs: np.ndarray, parts: np.ndarray, window: int,
     payload, length = _cut(words, first[sent], last[sent])
     edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(sent) else np.zeros(1, int)
     at = np.concatenate([[0], np.cumsum(length)])
-    press = zstandard.ZstdCompressor(level=1)
+    press = zstandard.ZstdCompressor(level=3)
     blobs = []
     for lo, hi in zip(edge[:-1], edge[1:], strict=True):
         which = sent[lo:hi]
         used, local = np.unique(owner[which], return_inverse=True)
         head = np.array([len(which), len(used)], np.int32).tobytes()
         columns = (docs[used], parts[used].astype(np.uint32), local.astype(np.uint32), (first[which] - offset[which]).astype(np.uint32))
-        blob = head + b"".join(c.tobytes() for c in columns) + payload[at[lo] : at[hi]].tobytes()
+        blob = head + b"".join(_planes(c) for c in columns) + payload[at[lo] : at[hi]].tobytes()
         blobs.append((int(bucket[lo]), press.compress(blob)))
     return ranges, blobs
 
@@ -141,35 +141,61 @@ def _powers(base: int, exponent: np.ndarray) -> np.ndarray:
     return out
 
 
+def _planes(column: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next ones: small and slowly changing numbers compress well so."""
+    return column.view(np.uint8).reshape(len(column), -1).T.tobytes()
+
+
 def _unpack(blob: bytes):
     runs, used = np.frombuffer(blob, np.int32, 2)
-    docs = np.frombuffer(blob, np.int64, used, 8)
-    parts = np.frombuffer(blob, np.uint32, used, 8 + 8 * used)
-    local = np.frombuffer(blob, np.uint32, runs, 8 + 12 * used)
-    first = np.frombuffer(blob, np.uint32, runs, 8 + 12 * used + 4 * runs)
-    return docs[local], parts[local], first, blob[8 + 12 * used + 8 * runs :]
+    at, out = 8, []
+    for kind, n in ((np.int64, used), (np.uint32, used), (np.uint32, runs), (np.uint32, runs)):
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(blob, np.uint8, n * width, at).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += n * width
+    docs, parts, local, first = out
+    return docs[local], parts[local], first, blob[at:]
 
 
 def _repeated(blobs: list[bytes], window: int) -> tuple:
     """(doc, part, first, last) word ranges of a bucket whose windows also start in a smaller document."""
-    docs, parts, place, data = (list(x) for x in zip(*map(_unpack, blobs), strict=True))
-    docs, parts, place = np.concatenate(docs), np.concatenate(parts), np.concatenate(place).astype(np.int64)
-    words = Words([line for payload in data for line in payload.split(b"\n")[:-1]])
-    run = words.owner()
-    inside = np.arange(len(words)) - words.first[:-1][run]
-    start = np.flatnonzero(np.diff(words.first)[run] - inside >= window)  # first words of the windows
-    value = _runs_of(words.hash, window)[start]
+    docs, parts, place, pages = [], [], [], []
+    value, run, start, page = [], [], [], []  # of every window; start: its first word in its page
+    runs = 0
+    for i, j in chunks(blobs):  # the words of a page are in memory only while it is hashed
+        unpacked = [_unpack(b) for b in blobs[i:j]]
+        words = Words([line for u in unpacked for line in u[3].split(b"\n")[:-1]])
+        owner = words.owner()
+        inside = np.arange(len(words)) - words.first[:-1][owner]
+        at = np.flatnonzero(np.diff(words.first)[owner] - inside >= window)
+        value.append(_runs_of(words.hash, window)[at])
+        run.append(owner[at] + runs)
+        start.append(at)
+        page.append(np.full(len(at), len(pages)))
+        pages.append((words.data, words.start.astype(np.int32), words.end.astype(np.int32)))
+        place.append(np.concatenate([u[2] for u in unpacked]).astype(np.int64) - words.first[:-1])
+        docs += [u[0] for u in unpacked]
+        parts += [u[1] for u in unpacked]
+        runs += len(words.first) - 1
+    docs, parts, place = np.concatenate(docs), np.concatenate(parts), np.concatenate(place)
+    value, run, start, page = (np.concatenate(x) for x in (value, run, start, page))
+
+    def spelled(k: int) -> bytes:
+        data, begin, end = pages[page[k]]
+        return data[begin[start[k]] : end[start[k] + window - 1]]
+
     order = np.argsort(value, kind="stable")
     edge = np.flatnonzero(np.concatenate([[True], value[order][1:] != value[order][:-1]]))
     count = np.diff(np.append(edge, len(order)))
-    doc = docs[run[start]]
+    doc = docs[run]
     least = np.minimum.reduceat(doc[order], edge)
     most = np.maximum.reduceat(doc[order], edge)
     hit = np.zeros(len(start), bool)
     # windows are equal when their bytes are: a group whose hashes agree by chance is taken apart
     for g in np.flatnonzero(most > least):
         members = order[edge[g] : edge[g] + count[g]]
-        texts = [words.data[words.start[s] : words.end[s + window - 1]] for s in start[members]]
+        texts = [spelled(k) for k in members]
         if any(t != texts[0] for t in texts):
             for text in set(texts):
                 of_text = members[[t == text for t in texts]]
@@ -179,11 +205,11 @@ def _repeated(blobs: list[bytes], window: int) -> tuple:
     at = np.flatnonzero(hit)
     if not len(at):
         return tuple(np.zeros(0, np.int64) for _ in range(4))
-    begins = np.concatenate([[True], (np.diff(start[at]) != 1) | (np.diff(run[start[at]]) != 0)])
-    lo = start[at[begins]]
-    hi = start[at[np.append(np.flatnonzero(begins)[1:] - 1, len(at) - 1)]] + window
-    base = place[run[lo]] - words.first[:-1][run[lo]]
-    return docs[run[lo]], parts[run[lo]].astype(np.int64), lo + base, hi + base
+    begins = np.concatenate([[True], (np.diff(start[at]) != 1) | (np.diff(run[at]) != 0)])
+    lo = at[begins]
+    hi = at[np.append(np.flatnonzero(begins)[1:] - 1, len(at) - 1)]
+    base = place[run[lo]]  # the run's place in its document, less its place in the page
+    return docs[run[lo]], parts[run[lo]].astype(np.int64), start[lo] + base, start[hi] + window + base
 
 
 def repeated_ranges(texts: DataFrame, window: int, minimiser: int, bucket_bytes: int) -> DataFrame:
@@ -192,7 +218,7 @@ def repeated_ranges(texts: DataFrame, window: int, minimiser: int, bucket_bytes:
     buckets = max(1, round(3 * total / bucket_bytes))
 
     def deal(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             docs = batch.column(0).fill_null(_NONE).to_numpy(zero_copy_only=False)
             words = [canonical(t) for t in batch.column(1).to_pylist()]
             parts = np.array([zlib.crc32(w) for w in words], np.int64)
@@ -251,7 +277,7 @@ def remove_repeats(
     id_col: str = "doc_id",
     text_col: str = "text",
     window: int = 13,
-    minimiser: int = 3,
+    minimiser: int = 2,
     bucket_bytes: int = 8 << 20,
 ) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept (zstd of the kept words), kept_sha256.
@@ -274,8 +300,8 @@ def remove_repeats(
     )
 
     def packed(batches):
-        press = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in slices(batches, 1):
             words = [canonical(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
