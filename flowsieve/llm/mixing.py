@@ -105,7 +105,9 @@ def mix(
     cells = rows.filter("n_tokens > 0").groupBy(*_MARGINS).agg(F.sum("n_tokens").alias("tokens"))
     raked = written(rake(written(cells, "cells"), powers, rounds), "raked")
     chances = written(calibrate(raked, share), "chances")
-    drawn = lookup_join(rows, chances, list(_MARGINS)).withColumn("p", F.coalesce("probability", F.lit(1.0)))
+    drawn = lookup_join(rows, chances, list(_MARGINS)).withColumn(
+        "p", F.when(F.col("n_tokens") == 0, F.lit(1.0)).otherwise(F.coalesce("probability", F.lit(1.0)))
+    )
     return drawn.select(
         "doc_id",
         F.col("m_source").alias("source"),

@@ -7,6 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,18 +25,41 @@ _REMEMBERED = 400_000
 def _tokenizer(content: str):
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_str(content), {}
+    return Tokenizer.from_str(content), {}, {}
 
 
-def _ids_of(word: bytes, tokenizer) -> list[int]:
-    if word.isalpha():  # plain ASCII letters pass the normaliser and the splitter as they are, lower-cased
-        return [t.id for t in tokenizer.model.tokenize(word.lower().decode())]
-    return tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+#: Words of these characters are split and spelled here as the tokenizer's own steps do; others go through all of it.
+_PLAIN = regex.compile(r"[!-~\u00a1-\u00ff]+")
+_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes for those from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
+
+
+def _ids_of(word: bytes, tokenizer, parts: dict) -> list[int]:
+    text = word.decode("utf-8", "replace")
+    if not _PLAIN.fullmatch(text) or "<|" in text:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+    out = []
+    for part in _SPLIT.findall(text.lower()):
+        ids = parts.get(part)
+        if ids is None:
+            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(_LETTERS)
+            ids = parts[part] = [t.id for t in tokenizer.model.tokenize(spelled)]
+        out += ids
+    return out
 
 
 def encode(texts: list[bytes], content: str) -> list[np.ndarray]:
     """Token ids of canonical texts. The tokenizer drops white space, so each different word is encoded once."""
-    tokenizer, known = _tokenizer(content)
+    tokenizer, known, parts = _tokenizer(content)
     words = Words(texts)
     if not len(words):
         return [np.zeros(0, np.uint32) for _ in texts]
@@ -43,11 +67,13 @@ def encode(texts: list[bytes], content: str) -> list[np.ndarray]:
     spelled = [words.data[a:b] for a, b in zip(words.start[place].tolist(), words.end[place].tolist(), strict=True)]
     if len(known) + len(spelled) > _REMEMBERED:
         known.clear()
+    if len(parts) > _REMEMBERED:
+        parts.clear()
     ids = []
     for word in spelled:
         found = known.get(word)
         if found is None:
-            found = known[word] = np.array(_ids_of(word, tokenizer), np.uint32).tobytes()
+            found = known[word] = np.array(_ids_of(word, tokenizer, parts), np.uint32).tobytes()
         ids.append(found)
     flat = np.frombuffer(b"".join(ids), np.uint32)
     size = np.array([len(i) // 4 for i in ids], np.int64)

@@ -51,7 +51,8 @@ scales AS (
   FROM ratios WINDOW o AS (ORDER BY ratio DESC, source, lang, topic)),
 chosen AS (SELECT arg_max(scale, ratio) AS scale FROM scales WHERE scale * ratio <= 1),
 p AS (
-  SELECT d.*, coalesce(least(1.0, ratio * coalesce((SELECT scale FROM chosen), CAST('inf' AS DOUBLE))), 1.0) AS p
+  SELECT d.*, CASE WHEN n_tokens = 0 THEN 1.0
+    ELSE least(1.0, ratio * coalesce((SELECT scale FROM chosen), CAST('inf' AS DOUBLE))) END AS p
   FROM d LEFT JOIN ratios USING (source, lang, topic))
 SELECT doc_id, source, lang, topic, n_tokens, round(p, 6) AS probability,
   CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) < p * 4294967296.0 AS sampled FROM p"""
