@@ -44,7 +44,8 @@ def same_flag(a: Column, b: Column) -> Column:
 
 
 def account_key(bank: Column, account: Column) -> Column:
-    return F.concat_ws("_", bank.cast("string"), account)
+    """Bank and account; NULL when either is missing, so that such payments never share an account."""
+    return F.concat(bank.cast("string"), F.lit("_"), account)
 
 
 def finite_or_zero(x: Column) -> Column:

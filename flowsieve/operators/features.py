@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,10 @@ from flowsieve.functions import columns as C
 
 
 def split_missing_time(df: DataFrame, ts: str = "ts") -> tuple[DataFrame, DataFrame]:
-    """(rows with a time, rows without): history features are undefined for the second part."""
-    return df.filter(F.col(ts).isNotNull()), df.filter(F.col(ts).isNull())
+    """(rows with a time and both accounts, the others): history features are undefined for the second part."""
+    needed = [ts, *[c for c in ("from_account_id", "to_account_id") if c in df.columns]]
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in needed])
+    return df.filter(whole), df.filter(~whole)
 
 
 def add_base_features(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsieve.functions import columns as C
+from flowsieve.session import written
 
 
 def base_rate(df: DataFrame, label: str = "is_laundering") -> DataFrame:
@@ -76,24 +77,24 @@ def quality_profile(df: DataFrame, row_hash_columns: list[str] | None = None) ->
 
 
 def stats_document(df: DataFrame, label: str = "is_laundering") -> DataFrame:
-    """One JSON document with the base rate and the counts per format, currency and hour."""
-    def as_map(rates: DataFrame, key: str, value: str) -> DataFrame:
-        entry = F.struct(F.col(key).cast("string").alias("key"), F.col(value).alias("value"))
-        return rates.agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("m"))
-
-    parts = {}
-    for prefix, key in (
-        ("payment", F.col("payment_format")),
-        ("currency", F.col("payment_currency")),
-        ("hourly", C.hour_or_missing(F.col("ts"))),
-    ):
-        # A NULL group is written under the text 'nan'.
-        rates = rates_by(df, F.coalesce(key.cast("string"), F.lit("nan")), "k", label)
-        parts[f"{prefix}_counts"] = as_map(rates, "k", "transactions")
-        parts[f"{prefix}_pos"] = as_map(rates, "k", "laundering")
+    """One JSON document with the base rate and the counts per format, currency and hour; the counts are one pass."""
+    # A NULL group is written under the text 'nan'.
+    keys = {
+        "payment": F.col("payment_format"), "currency": F.col("payment_currency"), "hourly": C.hour_or_missing(F.col("ts")),
+    }
+    named = df.select(label, *[F.coalesce(k.cast("string"), F.lit("nan")).alias(name) for name, k in keys.items()])
+    counts = written(
+        named.groupingSets([[name] for name in keys], *keys).agg(
+            F.count(F.lit(1)).alias("transactions"), F.sum(label).cast("long").alias("laundering")
+        ),
+        "stats-counts",
+    )
     document = base_rate(df, label)
-    for name, one_row in parts.items():
-        document = document.withColumn(name, one_row.scalar())
+    for name in keys:
+        for suffix, value in (("counts", "transactions"), ("pos", "laundering")):
+            entry = F.struct(F.col(name).alias("key"), F.col(value).alias("value"))
+            one_row = counts.filter(F.col(name).isNotNull()).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("m"))
+            document = document.withColumn(f"{name}_{suffix}", one_row.scalar())
     return document.select(F.to_json(F.struct(*document.columns)).alias("document"))
 
 

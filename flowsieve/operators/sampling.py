@@ -217,16 +217,22 @@ def natural_prior_sample(
     holdout: DataFrame,
     key: str,
     label: str = "is_laundering",
-    max_negatives: int = 1_500_000,
+    max_negatives: int | None = None,
     exclude: DataFrame | None = None,
     seed: int = SPLIT_SEED,
 ) -> DataFrame:
-    """Held-out positives with as many uniformly drawn negatives as the base rate of ``df`` asks for."""
+    """Held-out positives with as many uniformly drawn negatives as the base rate of ``df`` asks for.
+
+    With ``max_negatives`` positives are thinned by the same share, so the prior stays natural.
+    """
     totals = df.agg(F.sum(label).alias("p"), F.count(F.lit(1)).alias("n")).first()
     positives = holdout.filter(F.col(label) == 1)
     held = positives.count()
     rate = (totals["p"] or 0) / totals["n"] if totals["n"] else 0.0
-    needed = min(round(held * (1 - rate) / rate), max_negatives) if rate else 0
+    needed = round(held * (1 - rate) / rate) if rate else 0
+    if max_negatives is not None and needed > max_negatives:
+        positives = smallest_draws(positives, key, round(held * max_negatives / needed), seed)
+        needed = max_negatives
     pool = df.filter(F.col(label) == 0)
     if exclude is not None:
         pool = pool.join(exclude.select(key), key, "left_anti")

@@ -190,17 +190,15 @@ FROM pts LEFT JOIN numbered m ON account_id = m.node LEFT JOIN border b ON accou
 
 
 def kmeans_clusters(spark, sf_dir):
-    """Transaction sample (all positives, 8,000 negatives, 12,000 rows): matrix, PCA, K-means and DBSCAN, measured."""
+    """All transactions: matrix, PCA, K-means, profile and centroid-based measures."""
     from pyspark.ml.functions import vector_to_array
 
     from flowsieve.operators.preparation import fit_preparation
 
     setting = K.TRANSACTION_CLUSTERING
     rows = written(G.retrospective_features(featured(spark, sf_dir)), "graph-rows")
-    sample = X.exact_case_control(rows, "row_key", 8_000, "is_laundering")
-    sample = written(X.smallest_draws(sample, "row_key", 12_000), "cluster-sample")
-    fitted = fit_preparation(sample, BASE_NUMERIC + GRAPH_NUMERIC, CATEGORICAL)
-    points = fitted.transform(sample).select(
+    fitted = fit_preparation(rows, BASE_NUMERIC + GRAPH_NUMERIC, CATEGORICAL)
+    points = fitted.transform(rows).select(
         "row_key", "is_laundering", "amount_paid", "sender_out_degree", vector_to_array("features").alias("x")
     )
     points = written(K.project(points, K.pca_model(points, setting["dims"])), "projected")
@@ -212,11 +210,10 @@ def kmeans_clusters(spark, sf_dir):
 
 
 def account_clustering(spark, sf_dir):
-    """Account sample: scaled, projected, clustered both ways, with agreement against the label."""
+    """All accounts: scaled, projected, clustered both ways, with agreement against the label."""
     setting = K.ACCOUNT_CLUSTERING
     accounts = written(account_table(spark, sf_dir), "accounts")
-    sample = X.exact_case_control(accounts, "account_id", 20_000, "account_laundering")
-    points = written(K.matrix(sample, A.ACCOUNT_MODEL_COLUMNS, ["account_id", "account_laundering"]), "matrix")
+    points = written(K.matrix(accounts, A.ACCOUNT_MODEL_COLUMNS, ["account_id", "account_laundering"]), "matrix")
     points = written(K.project(points, K.pca_model(points, setting["dims"])), "projected")
     out = None
     for method, found in (
@@ -228,7 +225,7 @@ def account_clustering(spark, sf_dir):
     ):
         found = written(found.select("account_id", "account_laundering", "x", "cluster"), "clustered")
         row = K.cluster_counts(found, min_points=20).withColumn("method", F.lit(method))
-        for figure in (K.agreement(found, "account_laundering"), K.silhouette_euclidean(found, "account_id"),
+        for figure in (K.agreement(found, "account_laundering"), K.silhouette(found),
                        K.highest_positive_rate(found, "account_laundering")):
             row = row.withColumns({c: F.lit(v) for c, v in figure.first().asDict().items()})
         out = row if out is None else out.unionByName(row)

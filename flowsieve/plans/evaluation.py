@@ -77,8 +77,8 @@ NATURAL_SQL = f"""{SPLIT_SQL},
 natural_rows AS MATERIALIZED (SELECT * FROM split_rows WHERE split = 'test' AND is_laundering = 1
   UNION ALL SELECT * FROM (SELECT * FROM split_rows WHERE split = 'test' AND is_laundering = 0
     QUALIFY row_number() OVER (ORDER BY {draw_sql('row_key', X.SPLIT_SEED)}, row_key) <= (
-      SELECT least(round(count(*) FILTER (split = 'test' AND is_laundering = 1)
-        * (1 - avg(CAST(is_laundering AS DOUBLE))) / avg(CAST(is_laundering AS DOUBLE))), 1500000) FROM split_rows)))"""
+      SELECT round(count(*) FILTER (split = 'test' AND is_laundering = 1)
+        * (1 - avg(CAST(is_laundering AS DOUBLE))) / avg(CAST(is_laundering AS DOUBLE))) FROM split_rows)))"""
 
 # ---------------------------------------------------------------- metrics
 

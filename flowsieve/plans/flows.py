@@ -40,7 +40,7 @@ def _result(df: DataFrame, out: str, name: str, paths: dict) -> None:
 
 def core_study(
     payments: DataFrame, out: str, specs: list[L.Spec] = L.ALL_SPECS, overrides: dict | None = None,
-    target_negatives: int = 160_000, max_edges: int | None = 60_000,
+    target_negatives: int = 160_000, max_edges: int | None = None,
 ) -> dict[str, str]:
     """Rates and stats, case-control sample, base and graph features, clustering, all models.
 
@@ -82,20 +82,22 @@ def core_study(
     return paths
 
 
-def cluster_transactions(features: DataFrame) -> dict[str, DataFrame]:
-    """K-means and DBSCAN on the projected matrix of all positives and 8,000 negatives, at most 12,000 rows."""
+def cluster_transactions(features: DataFrame, dbscan_rows: int = 12_000) -> dict[str, DataFrame]:
+    """K-means on the projected matrix of all rows, DBSCAN on a sample of ``dbscan_rows`` of them.
+
+    Silhouettes are those of squared distances, which need no pairs of points.
+    """
     from pyspark.ml.functions import vector_to_array
 
     setting = K.TRANSACTION_CLUSTERING
-    sample = X.smallest_draws(X.exact_case_control(features, KEY, 8_000, "is_laundering"), KEY, 12_000)
-    sample = written(sample, "cluster-sample")
-    fitted = P.fit_preparation(sample, BASE_NUMERIC + GRAPH_NUMERIC, CATEGORICAL)
+    fitted = P.fit_preparation(features, BASE_NUMERIC + GRAPH_NUMERIC, CATEGORICAL)
     keep = [KEY, "is_laundering", "amount_paid", "sender_out_degree"]
-    points = fitted.transform(sample).select(*keep, vector_to_array("features").alias("x"))
+    points = fitted.transform(features).select(*keep, vector_to_array("features").alias("x"))
     points = written(K.project(points, K.pca_model(points, min(setting["dims"], len(fitted.names())))), "projected")
+    sample = written(X.smallest_draws(points, KEY, dbscan_rows), "dbscan-sample")
     found = {
         "kmeans_cluster": K.kmeans(points, setting["k"]),
-        "dbscan_cluster": K.dbscan(points, setting["eps"], setting["min_points"], setting["dbscan_dims"], key=KEY),
+        "dbscan_cluster": K.dbscan(sample, setting["eps"], setting["min_points"], setting["dbscan_dims"], key=KEY),
     }
     metrics = profiles = None
     for method, rows in found.items():
@@ -103,7 +105,7 @@ def cluster_transactions(features: DataFrame) -> dict[str, DataFrame]:
         row = K.cluster_counts(rows).withColumn("method", F.lit(method))
         figures = [K.highest_positive_rate(rows, "is_laundering")]
         if row.first()["valid"]:
-            figures += [K.silhouette_euclidean(rows, KEY), K.davies_bouldin(rows), K.calinski_harabasz(rows)]
+            figures += [K.silhouette(rows), K.davies_bouldin(rows), K.calinski_harabasz(rows)]
         for figure in figures:
             row = row.withColumns({c: F.lit(v) for c, v in figure.first().asDict().items()})
         profile = K.transaction_profile(rows, "cluster", method)
@@ -121,7 +123,8 @@ def extended_study(
     """
     paths: dict[str, str] = {}
     paths["account_features"] = f"{out}/account_features"
-    A.clean_account_matrix(A.account_features(features)).write.parquet(paths["account_features"])
+    whole = add_base_features(payments)
+    A.clean_account_matrix(A.account_features(whole)).write.parquet(paths["account_features"])
     accounts = cluster_accounts(features.sparkSession.read.parquet(paths["account_features"]))
     _result(accounts["metrics"], out, "account_clustering_metrics", paths)
     _result(accounts["profiles"], out, "account_cluster_profiles", paths)
@@ -139,7 +142,6 @@ def extended_study(
     fitted = L.fit_model(spec, split.filter(F.col("split") == "fit"), overrides)
     validation = fitted.score(split.filter(F.col("split") == "validation"))
     threshold = M.best_f1_threshold(validation).first()["threshold"]
-    whole = add_base_features(payments)
     holdout = whole.join(split.filter(F.col("split") == "test").select(KEY), KEY, "left_semi")
     natural = X.natural_prior_sample(whole, holdout, KEY, exclude=split.filter(F.col("split") != "test"))
     scored = fitted.score(G.retrospective_features(written(natural, "natural"))).select(
@@ -151,15 +153,15 @@ def extended_study(
     return paths
 
 
-def cluster_accounts(accounts: DataFrame) -> dict[str, DataFrame]:
-    """All positive accounts and 20,000 others: K-means and DBSCAN, agreement with the label, 2-D coordinates."""
+def cluster_accounts(accounts: DataFrame, dbscan_rows: int = 20_000) -> dict[str, DataFrame]:
+    """K-means on all accounts, DBSCAN on a sample of ``dbscan_rows``, agreement with the label, 2-D coordinates."""
     setting = K.ACCOUNT_CLUSTERING
-    sample = written(X.exact_case_control(accounts, "account_id", 20_000, "account_laundering"), "account-sample")
-    scaled = written(K.matrix(sample, A.ACCOUNT_MODEL_COLUMNS, ["account_id", "account_laundering"]), "account-matrix")
+    scaled = written(K.matrix(accounts, A.ACCOUNT_MODEL_COLUMNS, ["account_id", "account_laundering"]), "account-matrix")
     points = written(K.project(scaled, K.pca_model(scaled, setting["dims"])), "account-points")
+    sample = written(X.smallest_draws(points, "account_id", dbscan_rows), "dbscan-sample")
     found = {
         "Account KMeans": K.kmeans(points, setting["k"]),
-        "Account DBSCAN": K.dbscan(points, setting["eps"], setting["min_points"], setting["dbscan_dims"], key="account_id"),
+        "Account DBSCAN": K.dbscan(sample, setting["eps"], setting["min_points"], setting["dbscan_dims"], key="account_id"),
     }
     plane = K.project(scaled, K.pca_model(scaled, 2))
     projection = plane.select("account_id", "account_laundering", F.col("x")[0].alias("pca_1"), F.col("x")[1].alias("pca_2"))
@@ -169,15 +171,15 @@ def cluster_accounts(accounts: DataFrame) -> dict[str, DataFrame]:
         row = K.cluster_counts(rows, min_points=20).withColumn("method", F.lit(method))
         figures = [K.agreement(rows, "account_laundering"), K.highest_positive_rate(rows, "account_laundering")]
         if row.first()["valid"]:
-            figures.append(K.silhouette_euclidean(rows, "account_id"))
+            figures.append(K.silhouette(rows))
         for figure in figures:
             row = row.withColumns({c: F.lit(v) for c, v in figure.first().asDict().items()})
-        labelled = sample.join(rows.select("account_id", "cluster"), "account_id")
+        labelled = accounts.join(rows.select("account_id", "cluster"), "account_id")
         profile = K.account_profile(labelled, "cluster", method)
         metrics = row if metrics is None else metrics.unionByName(row, allowMissingColumns=True)
         profiles = profile if profiles is None else profiles.unionByName(profile)
         name = "kmeans_cluster" if method.endswith("KMeans") else "dbscan_cluster"
-        projection = projection.join(rows.select("account_id", F.col("cluster").alias(name)), "account_id")
+        projection = projection.join(rows.select("account_id", F.col("cluster").alias(name)), "account_id", "left")
     return {"metrics": metrics, "profiles": profiles, "projection": projection}
 
 

@@ -23,7 +23,7 @@ def build_session(master: str = "local[8]", app: str = "flowsieve", **conf) -> S
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("FLOWSIEVE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("FLOWSIEVE_DRIVER_MEMORY", "6g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in conf.items():
