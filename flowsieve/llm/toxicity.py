@@ -76,27 +76,30 @@ PATTERNS = {
 }
 
 
-def label_model(votes: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, dict]:
+def label_model(votes: np.ndarray, anchor: int, rounds: int = 60) -> tuple[np.ndarray, dict]:
     """Posterior probability of class 1 per row, and what was estimated, from votes in {-1, 0, 1}.
 
-    Every voter has a probability of each vote under each class; these and the class share come from expectation-
+    The first guess follows the voter ``anchor``, so that class 1 means what that voter means, but its errors are
+    estimated like those of the others. Every voter has a probability of each vote under each class; these and the class share come from expectation-
     maximisation. Voters that agree beyond what the class explains are correlated: after each fit, a voter's
     evidence is divided by the sum of its conditional correlations, so that a clique counts about once.
     """
     n, m = votes.shape
     hot = np.stack([(votes == v).astype(float) for v in (-1, 0, 1)], axis=2)
-    share, weight = 0.1, np.ones(m)
-    table = np.empty((2, m, 3))
-    table[1], table[0] = (0.05, 0.55, 0.4), (0.3, 0.68, 0.02)
-    rate = hot.mean(0)
-    table = 0.5 * table + 0.5 * rate
+    weight, rate, table = np.ones(m), hot.mean(0), np.empty((2, m, 3))
+    post = np.where(votes[:, anchor] > 0, 0.95, 0.05)
+
+    def learn() -> float:
+        for y, p in ((0, 1 - post), (1, post)):
+            table[y] = (np.einsum("n,nmv->mv", p, hot) + 0.5 * rate + 0.01) / (p.sum() + 0.5 + 0.03)
+        return float(np.clip(post.mean(), 0.01, 0.5))
+
+    share = learn()
     for turn in range(rounds):
         score = np.stack([np.einsum("nmv,mv->nm", hot, np.log(t)) @ weight for t in table])
         score += np.log([[1 - share], [share]])
         post = 1 / (1 + np.exp(np.clip(score[0] - score[1], -50, 50)))
-        for y, p in ((0, 1 - post), (1, post)):
-            table[y] = (np.einsum("n,nmv->mv", p, hot) + 0.5 * rate + 0.01) / (p.sum() + 0.5 + 0.03)
-        share = float(np.clip(post.mean(), 0.01, 0.5))
+        share = learn()
         if turn % 20 == 19:
             together = np.zeros((m, m))
             for y, p in ((0, 1 - post), (1, post)):
@@ -143,7 +146,8 @@ def fit(
 ) -> Model:
     """Train on labelled documents outside the held-out fold, about ``max_labelled`` of them drawn by hash.
 
-    Words and word beginnings that go with label 1 are dealt to ``lexicons`` voters by rank, so that none depends
+    Features must occur in ``support`` documents and in as many as 1 % of those with label 1. Words and word
+    beginnings that go with label 1 are dealt to ``lexicons`` voters by rank, so that none depends
     on one entry; each votes 1 when a text has one of its entries. Two voters count all entries: they vote 1 from two
     or four on and 0 without any. The patterns vote 1, and the label itself is a voter whose errors are estimated like the others'. The classifier
     is a logistic regression on the features with the label model's posteriors as weights of both classes.
@@ -180,16 +184,16 @@ def fit(
 
     a, b = F.col("a"), F.col("n") - F.col("a")
     odds = F.log((a + 0.5) / (n1 - a + 0.5)) - F.log((b + 0.5) / (n0 - b + 0.5))
-    # how surely the odds differ from 1: log odds by their standard error
-    spread = F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+    # at least this large, by two standard errors: a frequent but weak feature ranks below a rare but sure one
+    sure = F.abs(odds) - 2 * F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
     counted = sample.select("text", "label").mapInArrow(count, "feature long, parent long, a long, n long")
     chosen = (
         counted.groupBy("feature")
         .agg(F.max("parent").alias("parent"), F.sum("a").alias("a"), F.sum("n").alias("n"))
-        .filter(F.col("n") >= support)
-        .select("feature", "parent", "n", (odds / spread).alias("z"), odds.alias("odds"))
-        .filter("abs(z) > 3")
-        .orderBy(F.desc(F.abs("z")), "feature")
+        .filter(F.col("n") >= max(support, n1 // 100))  # copies of a few documents must not make an entry
+        .select("feature", "parent", "n", sure.alias("sure"), odds.alias("odds"))
+        .filter("sure > 1.5")
+        .orderBy(F.desc("sure"), "feature")
         .limit(16 * entries)
         .toPandas()
     )
@@ -198,7 +202,7 @@ def fit(
     same = {p for p, n in zip(chosen.parent, chosen.n, strict=True) if n >= 0.9 * many.get(p, np.inf)}
     chosen = chosen[~chosen.feature.isin(same)].head(4 * entries).reset_index(drop=True)
     table = Table(chosen.feature.to_numpy().view(np.uint64))
-    best = np.flatnonzero((chosen.z > 4).to_numpy() & (chosen.odds > 2).to_numpy())[:entries]
+    best = np.flatnonzero((chosen.odds > 0).to_numpy())[:entries]
     # entries with a common beginning are one family: they must not count as several witnesses
     parent, family = dict(zip(chosen.feature, chosen.parent, strict=True)), np.full(len(chosen), -1)
     roots: dict[int, int] = {}
@@ -238,7 +242,7 @@ def fit(
     voted = written(sample.select("text", "label").mapInArrow(vote, "votes array<long>, numbers array<string>"), "votes")
     kinds = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).toPandas()  # at most max_labelled rows
     matrix = np.array(kinds.votes.tolist())
-    post, _ = label_model(np.repeat(matrix, kinds.n, axis=0))
+    post, _ = label_model(np.repeat(matrix, kinds.n, axis=0), anchor=-1)
     ends = np.cumsum(kinds.n.to_numpy()) - 1
     posterior = docs.sparkSession.createDataFrame(
         [(v.tolist(), float(p)) for v, p in zip(matrix, post[ends], strict=True)], "votes array<long>, p double"
@@ -251,7 +255,7 @@ def fit(
     )
     rows = voted.join(F.broadcast(posterior), "votes").select("numbers", F.explode(both).alias("e"))
     rows = counter.transform(rows.select("numbers", "e.label", "e.weight").filter("weight > 0.001"))
-    fitted = LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=60, standardization=False).fit(rows)
+    fitted = LogisticRegression(weightCol="weight", regParam=1e-5, maxIter=100, standardization=False).fit(rows)
     return Model(table, fitted.coefficients.toArray(), float(fitted.intercept))
 
 

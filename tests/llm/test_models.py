@@ -103,7 +103,7 @@ def test_label_model_finds_the_accuracies():
     useless = np.where(rng.random(4000) < 0.3, 1, 0)
     label = np.where(rng.random(4000) < 0.05, ~y, y) * 2 - 1
     votes = np.stack([*good, good[0], useless, label], axis=1)
-    post, found = toxicity.label_model(votes)
+    post, found = toxicity.label_model(votes, anchor=-1)
     assert ((post > 0.5) == y).mean() > 0.97
     assert abs(found["share"] - 0.2) < 0.03
     clean, toxic = found["votes"][0][:, 2], found["votes"][1][:, 2]
