@@ -58,7 +58,10 @@ def _ids_of(word: bytes, tokenizer, parts: dict) -> list[int]:
 
 
 def encode(texts: list[bytes], content: str) -> list[np.ndarray]:
-    """Token ids of canonical texts. The tokenizer drops white space, so each different word is encoded once."""
+    """Token ids of canonical texts.
+
+    The tokenizer drops white space, so each different word is encoded once, and so is each part of a plain word.
+    """
     tokenizer, known, parts = _tokenizer(content)
     words = Words(texts)
     if not len(words):
