@@ -17,6 +17,7 @@ HEADLINE = [
     "payment_format_rates", "base_features", "history_full", "account_features", "retro_graph", "pagerank",
     "chrono_split", "stratified_folds", "average_precision", "metrics_by_split", "threshold_sweep",
     "paired_bootstrap", "mutual_information", "txn_cluster_profile",
+    "logistic_scores", "tree_scores", "forest_scores", "gbt_scores",
 ]
 
 
