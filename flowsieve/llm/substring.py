@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from flowsieve.llm.words import Words, canonical, chunks, mix, slices
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_CHUNK = 2 << 20
+_CHUNK = 3 << 19
 _NONE = np.iinfo(np.int64).max
 _RANGE = "bucket int, doc long, part long, first int, last int"
 
@@ -69,7 +69,12 @@ def _cut(words: Words, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray,
     raw = np.frombuffer(words.data, np.uint8)
     begin, size = words.start[first], words.end[last - 1] + 1 - words.start[first]
     stop = np.cumsum(size)
-    out = raw[np.arange(stop[-1] if len(stop) else 0) + np.repeat(begin - (stop - size), size)]
+    # places within a chunk are small numbers; there are three times as many as the chunk has bytes
+    total = int(stop[-1]) if len(stop) else 0
+    kind = np.int32 if total < 1 << 31 else np.int64
+    place = np.arange(total, dtype=kind)
+    place += np.repeat((begin - (stop - size)).astype(kind), size)
+    out = raw[place]
     out[stop - 1] = 10
     return out, size
 
@@ -218,7 +223,7 @@ def repeated_ranges(texts: DataFrame, window: int, minimiser: int, bucket_bytes:
     buckets = max(1, round(3 * total / bucket_bytes))
 
     def deal(batches):
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 2 * _CHUNK):
             docs = batch.column(0).fill_null(_NONE).to_numpy(zero_copy_only=False)
             words = [canonical(t) for t in batch.column(1).to_pylist()]
             parts = np.array([zlib.crc32(w) for w in words], np.int64)
