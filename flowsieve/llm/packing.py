@@ -18,7 +18,7 @@ from flowsieve.session import lookup_join, written
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Words whose ids a worker remembers; a speed-up only.
-_REMEMBERED = 400_000
+_REMEMBERED = 250_000
 
 
 @lru_cache(2)

@@ -9,7 +9,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowsieve.llm.words import CHUNK_BYTES, Words, _powers, chunks, letters, mix, slices
+from flowsieve.llm.words import Words, chunks, letters, mix, powers, prefix_sums, slices
 from flowsieve.session import written
 
 PREFIXES = (4, 5, 6, 7)
@@ -25,9 +25,7 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(words):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     raw = np.frombuffer(words.data, np.uint8)
-    power, inverse = _powers(max(10, int(len(raw)).bit_length()))
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[: len(raw)], out=total[1:])
+    total, inverse = prefix_sums(raw), powers(len(raw))[1]
     owner, size = words.owner(), words.end - words.start
     last = np.zeros(len(words), np.uint64)  # the longest beginning so far
     owners, out, parents = [], [], []
@@ -168,7 +166,7 @@ def fit(
         for batch in slices(batches, 0):
             words = [letters(t) for t in batch.column(0).to_pylist()]
             label = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            for i, j in chunks(words, 2 * CHUNK_BYTES):
+            for i, j in chunks(words):
                 owner, feature, parent = features(Words(words[i:j]))
                 order = np.lexsort((owner, feature))
                 owner, feature, parent = owner[order], feature[order], parent[order]

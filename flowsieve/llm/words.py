@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -60,16 +59,36 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(4)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, for texts of up to 2**bits bytes."""
-    out = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-        table = np.ones(1, np.uint64)
-        for k in range(bits):
-            table = np.concatenate([table, table * np.uint64(pow(base, 1 << k, 1 << 64))])
-        out.append(table)
-    return out[0], out[1]
+#: Powers known so far: one table per worker, which grows with the longest chunk up to _KEPT entries.
+_KNOWN: dict[str, np.ndarray] = {}
+_KEPT = 1 << 23
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the base, and of its inverse, modulo 2**64."""
+    if len(_KNOWN.get("base", ())) >= n:
+        return _KNOWN["base"], _KNOWN["inverse"]
+    size, out = -(-max(n, 1) // (1 << 18)) << 18, {}
+    for name, base in (("base", _BASE), ("inverse", pow(_BASE, -1, 1 << 64))):
+        table = np.ones(size, np.uint64)
+        have = 1
+        while have < size:
+            step = min(have, size - have)
+            np.multiply(table[:step], np.uint64(pow(base, have, 1 << 64)), out=table[have : have + step])
+            have += step
+        out[name] = table
+    if size <= _KEPT:
+        _KNOWN.update(out)
+    return out["base"], out["inverse"]
+
+
+def prefix_sums(raw: np.ndarray) -> np.ndarray:
+    """Running sums of (byte + 1) * base**place: differences of two are hashes of what lies between."""
+    total = np.zeros(len(raw) + 1, np.uint64)
+    total[1:] = raw
+    total[1:] += np.uint64(1)
+    total[1:] *= powers(len(raw))[0][: len(raw)]
+    return np.cumsum(total, out=total)
 
 
 class Words:
@@ -86,10 +105,8 @@ class Words:
         self.first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
         self.hash = np.zeros(0, np.uint64)
         if len(self.end):
-            power, inverse = _powers(max(10, int(len(raw)).bit_length()))
-            total = np.zeros(len(raw) + 1, np.uint64)
-            np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[: len(raw)], out=total[1:])
-            self.hash = mix((total[self.end] - total[self.start]) * inverse[self.start])
+            total = prefix_sums(raw)
+            self.hash = mix((total[self.end] - total[self.start]) * powers(len(raw))[1][self.start])
 
     def __len__(self) -> int:
         return len(self.end)
