@@ -201,6 +201,8 @@ def fit(
     chosen = chosen[~chosen.feature.isin(same)].head(4 * entries).reset_index(drop=True)
     table = Table(chosen.feature.to_numpy().view(np.uint64))
     best = np.flatnonzero((chosen.odds > 0).to_numpy())[:entries]
+    if not table.size:  # too few labels to tell any feature from chance: every text has the share of label 1
+        return Model(table, np.zeros(0), float(np.log(n1 / n0)))
     # entries with a common beginning are one family: they must not count as several witnesses
     parent, family = dict(zip(chosen.feature, chosen.parent, strict=True)), np.full(len(chosen), -1)
     roots: dict[int, int] = {}

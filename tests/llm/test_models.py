@@ -96,6 +96,13 @@ def test_toxicity_of_held_out_documents(spark):
     assert kept.columns == data.columns and kept.count() == sum(not r.predicted for r in rows)
 
 
+def test_few_labels_give_the_share_of_label_one(spark):
+    docs = table(spark, [(k, f"some words {k}") for k in range(12)])
+    labels = spark.createDataFrame([(k, int(k == 0)) for k in range(12)], "doc_id long, toxic int")
+    scores = {r.score for r in toxicity.score_texts(docs, toxicity.fit(docs, labels)).collect()}
+    assert len(scores) == 1 and 0 < scores.pop() < 0.5
+
+
 def test_label_model_finds_the_accuracies():
     rng = np.random.default_rng(3)
     y = rng.random(4000) < 0.2
