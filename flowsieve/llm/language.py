@@ -8,6 +8,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowsieve.llm.batches import small_batches
 from flowsieve.llm.words import chunks, letters, mix, slices
 from flowsieve.session import written
 
@@ -87,6 +88,7 @@ def learn(
     share of any language in that slot: then every n-gram that is that frequent has all its bits, and what strays
     in from passages in other languages has not. The tables have the same size whatever the corpus.
     """
+    small_batches(docs.sparkSession)
     known = docs.filter(F.col(lang_col).isNotNull() & (_fold(id_col) != fold)).select(
         F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")
     )
@@ -156,6 +158,7 @@ def predict(docs: DataFrame, filters: Filters | None, id_col: str = "doc_id", te
     A null text, one without a letter, and every text where nothing was learnt is ``und`` with score 0. A text
     without any learnt n-gram has the language with the most text, and score 0.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches):

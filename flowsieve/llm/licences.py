@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowsieve.llm.batches import small_batches
 from flowsieve.llm.words import Words, chunks, slices
 
 _ALNUM = bytes(i if i > 127 or chr(i).isalnum() else 32 for i in range(256))
@@ -152,6 +153,7 @@ def scan(
     A null or empty text has no places, and no rows. Rows that repeat an identifier are scanned each for itself;
     a null identifier is returned as null. No other column is read. An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     scanner = docs.sparkSession.sparkContext.broadcast(Scanner(NOTICES if notices is None else notices, coverage, slack))
 
     def run(batches):

@@ -11,6 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowsieve.llm.batches import small_batches
 from flowsieve.llm.lattice import Vocabulary
 from flowsieve.llm.words import Words, canonical, chunks, mix, slices
 from flowsieve.session import written
@@ -197,6 +198,7 @@ def score_texts(
     that repeat an identifier are scored each for itself. No other column is read; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(
         F.col(id_col).cast("long").alias("id"), held_out(id_col, fold).alias("held"), F.col(text_col).cast("string").alias("text")
     )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowsieve.llm.batches import small_batches
 from flowsieve.llm.links import components
 from flowsieve.llm.words import CHUNK_BYTES, Words, canonical, chunks, mix, slices
 from flowsieve.session import written
@@ -346,6 +347,7 @@ def near_classes(
     unless the class has no other. Rows that repeat an identifier and its words are one document. No column but
     the two named is read. An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     counters, documents = frequency_sketch(texts, shingle)
     weights = Weights(counters, documents, shingle, idf_span, bands * rows)

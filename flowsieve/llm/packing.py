@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowsieve.llm.batches import small_batches
 from flowsieve.llm.patterns import plan
 from flowsieve.llm.words import Words, canonical, chunks, slices
 from flowsieve.session import lookup_join, written
@@ -101,6 +102,7 @@ def token_pieces(
 
     ``tokenizer`` is the path of a tokenizer file that ignores white space between words. The driver reads it once.
     """
+    small_batches(docs.sparkSession)
     with open(tokenizer, encoding="utf-8") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
 

@@ -11,6 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowsieve.llm.batches import small_batches
 from flowsieve.llm.words import Words, canonical, chunks, mix, slices
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -297,6 +298,7 @@ def remove_repeats(
     another null. Rows that repeat an identifier are judged each for itself. No column but the two named is read.
     An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ranges = (
         repeated_ranges(texts, window, minimiser, bucket_bytes)

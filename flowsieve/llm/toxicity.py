@@ -9,6 +9,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowsieve.llm.batches import small_batches
 from flowsieve.llm.words import Words, chunks, letters, mix, powers, prefix_sums, slices
 from flowsieve.session import written
 
@@ -150,6 +151,7 @@ def fit(
     or four on and 0 without any. The patterns vote 1, and the label itself is a voter whose errors are estimated like the others'. The classifier
     is a logistic regression on the features with the label model's posteriors as weights of both classes.
     """
+    small_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("label"))
     known = known.dropna().groupBy("label_id").agg(F.max("label").alias("label")).filter(_fold("label_id") != fold)
     total = known.count()
@@ -264,6 +266,7 @@ def score_texts(
 ) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted. Only the text is scored; an empty one has the
     score of a text without any known feature."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -280,6 +283,7 @@ def score_texts(
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
