@@ -124,7 +124,7 @@ class Words:
         acc = np.zeros(n, np.uint64)
         for k in range(size):
             shifted = np.zeros(n, np.uint64)
-            shifted[: n - k] = self.hash[k:] if k else self.hash
+            shifted[: max(n - k, 0)] = self.hash[k:] if k else self.hash
             inside = position + k < per[owner]
             acc = acc * np.uint64(_STEP) + np.where(inside, shifted, np.uint64(0))
         whole = position + size <= per[owner]

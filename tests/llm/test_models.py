@@ -96,6 +96,70 @@ def test_toxicity_of_held_out_documents(spark):
     assert kept.columns == data.columns and kept.count() == sum(not r.predicted for r in rows)
 
 
+def _rare_abuse():
+    """15,000 labelled documents, a tenth toxic by a common word; eight outside the fold have a rare word instead."""
+    rng = random.Random(5)
+    plain = ["".join(rng.choices("bcdfgaeiou", k=rng.randrange(3, 8))) for _ in range(300)]
+    docs = [(i, " ".join(rng.choices(plain, k=12) + ["nastyword"] * (i % 10 == 0))) for i in range(15_000)]
+    for i in [i for i in range(0, 15_000, 10) if not in_fold(i, 3, 1)][:8]:
+        docs[i] = (i, docs[i][1].replace("nastyword", "qzlurk qzlurk"))
+    return docs, [(i, int(i % 10 == 0)) for i in range(15_000)]
+
+
+def _chosen(model, word):
+    key = toxicity.Words([word.encode()]).hash[0]
+    return key in set(model.table.key[model.table.number >= 0].tolist())
+
+
+@pytest.mark.parametrize("bound", [30_000, 200])
+def test_rare_toxic_words_are_counted_over_all_labelled_documents(spark, bound):
+    docs, labels = _rare_abuse()
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(table(spark, docs), marks, max_labelled=bound)
+    assert _chosen(model, "nastyword") and _chosen(model, "qzlurk")
+    scored = {r.doc_id: r.score for r in toxicity.score_texts(table(spark, docs), model).collect()}
+    held = [i for i, _ in docs if in_fold(i, 3, 1)]
+    assert sum((scored[i] >= 0.7) == (i % 10 == 0) for i in held) >= 0.99 * len(held)
+
+
+def test_copies_of_one_document_make_no_entry(spark):
+    docs, labels = _rare_abuse()
+    rng = random.Random(6)
+    docs += [(3000 + i, "some long passage about the wumpus which was copied over and over again") for i in range(60)]
+    rng.shuffle(docs)
+    marks = spark.createDataFrame(labels + [(3000 + i, 1) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.fit(table(spark, docs), marks)
+    assert _chosen(model, "qzlurk") and not _chosen(model, "wumpus")
+
+
+def test_unlabelled_documents_vote(spark, monkeypatch):
+    docs, labels, _ = _abuse(600)
+    seen, plain = {}, toxicity.label_model
+
+    def spied(votes, anchor, **more):
+        post, found = plain(votes, anchor, **more)
+        seen.update(votes=votes, times=more["times"])
+        return post, found
+
+    monkeypatch.setattr(toxicity, "label_model", spied)
+    toxicity.fit(table(spark, docs), spark.createDataFrame(labels[:300], "doc_id long, toxic int"), max_labelled=50)
+    allowed = [i for i, _ in docs if not in_fold(i, 3, 1)]
+    marked = {i for i, _ in labels[:300]}
+    assert seen["times"].sum() == len(allowed)
+    assert seen["times"][seen["votes"][:, -1] == 0].sum() == sum(i not in marked for i in allowed) > 100
+
+
+def test_vote_patterns_count_like_rows():
+    rng = np.random.default_rng(4)
+    votes = rng.integers(-1, 2, (3000, 5))
+    assert (toxicity.unpattern(toxicity.pattern(votes), 5) == votes).all()
+    kinds, times = np.unique(toxicity.pattern(votes), return_counts=True)
+    one, found = toxicity.label_model(votes, anchor=-1)
+    per, same = toxicity.label_model(toxicity.unpattern(kinds, 5), anchor=-1, times=times)
+    assert same["share"] == pytest.approx(found["share"])
+    assert np.allclose(per[np.searchsorted(kinds, toxicity.pattern(votes))], one)
+
+
 def test_few_labels_give_the_share_of_label_one(spark):
     docs = table(spark, [(k, f"some words {k}") for k in range(12)])
     labels = spark.createDataFrame([(k, int(k == 0)) for k in range(12)], "doc_id long, toxic int")
