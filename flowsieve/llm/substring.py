@@ -17,6 +17,8 @@ from flowsieve.llm.words import Words, canonical, chunks, mix, slices
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _CHUNK = 3 << 19
 _NONE = np.iinfo(np.int64).max
+#: Words of the second, longer gram that deals the windows of a hot minimiser.
+_LONGER = 6
 _RANGE = "bucket int, doc long, part long, first int, last int"
 
 
@@ -39,21 +41,42 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def super_kmers(words: Words, window: int, minimiser: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, last word + 1, minimiser) of each run of windows in one text that share their minimiser.
+def _least(words: Words, window: int, minimiser: int) -> np.ndarray:
+    """The least hash among the ``minimiser``-grams of the window from each word on.
 
-    The minimiser of a window is the least hash among its word ``minimiser``-grams. Short grams come last: the
-    frequent ones are short, and would gather too many windows in their bucket.
+    Short grams come last: the frequent ones are short, and would gather too many windows in their bucket.
     """
     n = len(words)
-    empty = np.zeros(0, np.int64)
-    if n < window:
-        return empty, empty, empty.astype(np.uint64)
     gram = _runs_of(words.hash, minimiser) >> np.uint64(1)
     length = np.full(n, 1 << 30, np.int64)
     length[: n - minimiser + 1] = words.end[minimiser - 1 :] - words.start[: n - minimiser + 1]
     gram |= (length < 4 * minimiser).astype(np.uint64) << np.uint64(63)
-    least = _sliding_min(gram, window - minimiser + 1)
+    return _sliding_min(gram, window - minimiser + 1)
+
+
+def _slots(key: np.ndarray, slots: int) -> np.ndarray:
+    return (mix(key + np.uint64(1)) % np.uint64(slots)).astype(np.int64)
+
+
+def super_kmers(
+    words: Words, window: int, minimiser: int, hot: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, last word + 1, key) of each run of windows in one text that share their key.
+
+    The key of a window is its minimiser, the least hash among its word ``minimiser``-grams. ``hot`` marks the slots
+    of frequent minimisers, and of frequent longer grams: a window with a hot minimiser has its least longer gram as
+    key, and if that is hot too, the hash of all its words. Equal windows have the same key in every text.
+    """
+    n = len(words)
+    empty = np.zeros(0, np.int64)
+    if n < window:
+        return empty, empty, empty.astype(np.uint64)
+    least = _least(words, window, minimiser)
+    if hot is not None and hot[0].any():
+        second = _least(words, window, min(_LONGER, window))
+        whole = hot[1][_slots(second, len(hot[1]))]
+        second = np.where(whole, _runs_of(words.hash, window), second)
+        least = np.where(hot[0][_slots(least, len(hot[0]))], second, least)
     per = np.diff(words.first)
     left = np.repeat(words.first[1:], per) - np.arange(n)  # words from here to the end of the text
     valid = left >= window
@@ -80,13 +103,13 @@ def _cut(words: Words, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray,
     return out, size
 
 
-def _pack(texts: list[bytes], docs: np.ndarray, parts: np.ndarray, window: int, minimiser: int, buckets: int):
+def _pack(texts: list[bytes], docs: np.ndarray, parts: np.ndarray, window: int, minimiser: int, buckets: int, hot: tuple | None = None):
     """(ranges, blobs) of one chunk: word ranges already known to be repeated, and what goes to each bucket.
 
     Of equal super-k-mers in the chunk only those of the smallest document travel; the others are repeated by it.
     """
     words = Words(texts)
-    first, last, least = super_kmers(words, window, minimiser)
+    first, last, least = super_kmers(words, window, minimiser, hot)
     if not len(first):
         return [], []
     owner = words.owner()[first]
@@ -218,10 +241,47 @@ def _repeated(blobs: list[bytes], window: int) -> tuple:
     return docs[run[lo]], parts[run[lo]].astype(np.int64), start[lo] + base, start[hi] + window + base
 
 
-def repeated_ranges(texts: DataFrame, window: int, minimiser: int, bucket_bytes: int) -> DataFrame:
-    """(doc, part, first, last): the word ranges of each document that repeat a smaller document's windows."""
+def hot_slots(texts: DataFrame, window: int, minimiser: int, slots: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """For minimisers and for longer grams: the slots whose super-k-mers have more than ``most`` bytes.
+
+    One row per slot and task is shuffled; the driver gets the hot ones only.
+    """
+    sizes = (minimiser, min(_LONGER, window))
+
+    def count(batches):
+        total = np.zeros((len(sizes), slots), np.int64)
+        for batch in slices(batches, 0, 2 * _CHUNK):
+            texts = [canonical(t) for t in batch.column(0).to_pylist()]
+            for i, j in chunks(texts, _CHUNK):
+                words = Words(texts[i:j])
+                for k, size in enumerate(sizes):
+                    first, last, key = super_kmers(words, window, size)
+                    if len(first):
+                        length = words.end[last - 1] + 1 - words.start[first]
+                        total[k] += np.bincount(_slots(key, slots), length, slots).astype(np.int64)
+        kind, slot = np.nonzero(total)
+        for k in range(0, len(slot), 1 << 16):
+            at = slice(k, k + (1 << 16))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kind[at].astype(np.int32)), pa.array(slot[at]), pa.array(total[kind[at], slot[at]])],
+                names=["kind", "slot", "bytes"],
+            )
+
+    counted = texts.select("text").mapInArrow(count, "kind int, slot long, bytes long")
+    found = counted.groupBy("kind", "slot").agg(F.sum("bytes").alias("bytes")).filter(F.col("bytes") > most)
+    hot = np.zeros((len(sizes), slots), bool)
+    for r in found.select("kind", "slot").collect():
+        hot[r.kind, r.slot] = True
+    return hot[0], hot[1]
+
+
+def dealt(texts: DataFrame, window: int, minimiser: int, bucket_bytes: int) -> DataFrame:
+    """Per batch and bucket the packed super-k-mers, and the ranges already known to be repeated."""
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, round(3 * total / bucket_bytes))
+    # a bucket holds four slots on average, none of which alone may be as large as a bucket is meant to be
+    hot = hot_slots(texts, window, minimiser, 4 * buckets, bucket_bytes)
+    shared = texts.sparkSession.sparkContext.broadcast(hot)
 
     def deal(batches):
         for batch in slices(batches, 1, 2 * _CHUNK):
@@ -229,7 +289,7 @@ def repeated_ranges(texts: DataFrame, window: int, minimiser: int, bucket_bytes:
             words = [canonical(t) for t in batch.column(1).to_pylist()]
             parts = np.array([zlib.crc32(w) for w in words], np.int64)
             for i, j in chunks(words, _CHUNK):
-                ranges, blobs = _pack(words[i:j], docs[i:j], parts[i:j], window, minimiser, buckets)
+                ranges, blobs = _pack(words[i:j], docs[i:j], parts[i:j], window, minimiser, buckets, shared.value)
                 packed = [None] * len(ranges) + [b for _, b in blobs]
                 bucket = [zlib.crc32(int(r[0]).to_bytes(8, "little")) % buckets for r in ranges] + [k for k, _ in blobs]
                 columns = [[int(r[c]) for r in ranges] + [None] * len(blobs) for c in range(4)]
@@ -242,6 +302,12 @@ def repeated_ranges(texts: DataFrame, window: int, minimiser: int, bucket_bytes:
                     names=["bucket", "doc", "part", "first", "last", "packed"],
                 )
 
+    return texts.select("doc_id", "text").mapInArrow(deal, f"{_RANGE}, packed binary")
+
+
+def repeated_ranges(texts: DataFrame, window: int, minimiser: int, bucket_bytes: int) -> DataFrame:
+    """(doc, part, first, last): the word ranges of each document that repeat a smaller document's windows."""
+
     def settle(batches):
         unpack = zstandard.ZstdDecompressor()
         bucket, blobs = None, []
@@ -263,9 +329,9 @@ def repeated_ranges(texts: DataFrame, window: int, minimiser: int, bucket_bytes:
         if blobs:
             yield _ranges([x.tolist() for x in _repeated(blobs, window)])
 
-    dealt = texts.select("doc_id", "text").mapInArrow(deal, f"{_RANGE}, packed binary")
     return (
-        dealt.repartition("bucket")
+        dealt(texts, window, minimiser, bucket_bytes)
+        .repartition("bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(settle, "doc long, part long, first int, last int")
     )
@@ -292,7 +358,8 @@ def remove_repeats(
     Consecutive windows with the same minimiser travel as one packed string to the bucket of that minimiser; there
     the windows are sorted, and equal ones are found by their bytes. Of equal strings in one batch of documents
     only the smallest document's travels, so a passage that a third of all documents share reaches its bucket once
-    per batch. The number of buckets follows the input, about ``bucket_bytes`` each.
+    per batch. The number of buckets follows the input, about ``bucket_bytes`` each. The bytes of each minimiser are
+    counted first: windows of a frequent one are dealt by a longer gram, or by all their words.
 
     A null or empty text has no words. A null identifier counts as larger than any other, and not as smaller than
     another null. Rows that repeat an identifier are judged each for itself. No column but the two named is read.

@@ -81,6 +81,49 @@ def test_substrings(spark, window, minimiser, bucket):
     assert _sorted(rows) == _sorted(_brute_repeats(data, window))
 
 
+def _filled_lines(n=240):
+    """A line with a varying number in a third of all documents, on both sides of it words that never vary."""
+    rng = random.Random(9)
+    words = lambda k: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(k))
+    before, after = words(10), words(10)
+    return [(i, f"{words(40)} {before} {rng.randrange(60)} {after} {words(5)}" if i % 3 == 0 else words(60)) for i in range(n)]
+
+
+def test_substrings_of_a_line_with_fill_in(spark):
+    data = _filled_lines()
+    found = substring.remove_repeats(table(spark, data), bucket_bytes=1500)
+    rows = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found.collect()]
+    assert _sorted(rows) == _sorted(_brute_repeats(data, 13))
+
+
+def test_a_frequent_minimiser_is_dealt_again(spark):
+    texts = table(spark, _filled_lines()).select("doc_id", "text").coalesce(1)
+    split = lambda most: substring.hot_slots(texts, 13, 2, 400, most)
+    hot = split(1500)
+    assert hot[0].any() and not split(1 << 40)[0].any()
+    lines = [t.encode() for _, t in _filled_lines()]
+    words = Words(lines)
+
+    def largest(hot):
+        first, last, key = substring.super_kmers(words, 13, 2, hot)
+        _, where = np.unique(key, return_inverse=True)
+        distinct = {}  # equal strings of one batch travel once
+        for k, a, b in zip(where, first, last, strict=True):
+            distinct.setdefault(k, set()).add(words.data[words.start[a] : words.end[b - 1]])
+        return max(sum(len(x) for x in d) for d in distinct.values())
+
+    assert largest(hot) < largest(None) / 2
+
+
+def test_hot_keys_cover_every_window_once():
+    words = Words([t.encode() for _, t in _filled_lines()])
+    hot = np.arange(64) % 2 == 0, np.arange(64) % 3 == 0
+    first, last, _ = substring.super_kmers(words, 13, 2, hot)
+    seen = sorted(s for a, b in zip(first, last, strict=True) for s in range(a, b - 12))
+    owner = words.owner()
+    assert seen == [s for s in range(len(words) - 12) if owner[s] == owner[s + 12]]
+
+
 def test_super_kmers_cover_every_window_once():
     rng = random.Random(2)
     texts = [b" ".join(rng.choice([b"a", b"bb", b"cccc", b"dddddd"]) for _ in range(k)) for k in (0, 5, 13, 14, 200)]
