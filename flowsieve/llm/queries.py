@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsieve.llm import exact, language, licences, lm, mixing, near, packing, substring, topk, toxicity
+from flowsieve.llm import exact, language, licences, lm, mixing, near, packing, periods, repair, shards, substring, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -144,6 +144,21 @@ def op10_licence_scan(spark, sf_dir):
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return periods.periodic_runs(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_interleaved_shards(spark, sf_dir):
+    placed = shards.interleaved(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_exact_dedup": op2_exact_dedup,
@@ -155,6 +170,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_maxscore": op9_maxscore,
     "op10_licence_scan": op10_licence_scan,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_interleaved_shards": op13_interleaved_shards,
 }
 SQL: dict[str, str] = {
     "op1_source_mixing": _raked_sql(),
