@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsieve.llm import exact, language, licences, lm, mixing, near, packing, periods, repair, shards, substring, topk, toxicity
+from flowsieve.llm import exact, language, licences, lm, mixing, near, packing, periods, repair, shards, substring, topk, toxicity, twins
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -179,4 +179,7 @@ SQL: dict[str, str] = {
     "op2_exact_dedup": OP2_SQL,
     "op3_substring_dedup": OP3_SQL,
     "op9_maxscore": OP9_SQL,
+    "op11_periodic_runs": twins.RUNS,
+    "op12_conversation_repair": twins.REPAIR,
+    "op13_interleaved_shards": twins.SHARDS,
 }
