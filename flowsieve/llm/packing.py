@@ -2,36 +2,37 @@
 
 from __future__ import annotations
 
+import re
+import struct
+import unicodedata
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowsieve.llm.batches import small_batches
 from flowsieve.llm.patterns import plan
-from flowsieve.llm.words import Words, canonical, chunks, slices
+from flowsieve.llm.words import slices
 from flowsieve.session import lookup_join, written
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Words whose ids a worker remembers; a speed-up only.
-_REMEMBERED = 250_000
+#: Parts whose ids a worker remembers, twice at most; a speed-up only.
+_REMEMBERED = 120_000
+_LATIN = [chr(i) for i in range(33, 256) if i < 127 or i > 160]
 
 
-@lru_cache(2)
-def _tokenizer(content: str):
-    from tokenizers import Tokenizer
+def _class(kinds: str) -> str:
+    return "".join(re.escape(c) for c in _LATIN if unicodedata.category(c)[0] in kinds)
 
-    return Tokenizer.from_str(content), {}, {}
 
-
-#: Words of these characters are split and spelled here as the tokenizer's own steps do; others go through all of it.
-_PLAIN = regex.compile(r"[!-~\u00a1-\u00ff]+")
-_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: How byte-level tokenizers part lower-cased Latin-1 text.
+_PART = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_class('L')}]+|[{_class('N')}]|[{_class('MPSCZ')}]+")
+_PLAIN = re.compile(f"[{_class('LNMPSCZ')} \t-\r]*")
+_WORD = re.compile(r"[^ \t-\r]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -44,49 +45,55 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
-def _ids_of(word: bytes, tokenizer, parts: dict) -> list[int]:
-    text = word.decode("utf-8", "replace")
-    if not _PLAIN.fullmatch(text) or "<|" in text:
-        return tokenizer.encode(text, add_special_tokens=False).ids
-    out = []
-    for part in _SPLIT.findall(text.lower()):
-        ids = parts.get(part)
-        if ids is None:
-            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(_LETTERS)
-            ids = parts[part] = [t.id for t in tokenizer.model.tokenize(spelled)]
-        out += ids
-    return out
+class _Remembered(dict):
+    """Token ids of words, four little-endian bytes each; what is asked for often outlasts what is not."""
 
+    def __init__(self, find):
+        self.find, self.older = find, {}
 
-def encode(texts: list[bytes], content: str) -> list[np.ndarray]:
-    """Token ids of canonical texts.
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= _REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        out = self.older.get(word)
+        if out is None:
+            ids = self.find(word)
+            out = struct.pack(f"<{len(ids)}I", *ids)
+        self[word] = out
+        return out
 
-    The tokenizer drops white space, so each different word is encoded once, and so is each part of a plain word.
-    """
-    tokenizer, known, parts = _tokenizer(content)
-    words = Words(texts)
-    if not len(words):
-        return [np.zeros(0, np.uint32) for _ in texts]
-    _, place, which = np.unique(words.hash, return_index=True, return_inverse=True)
-    spelled = [words.data[a:b] for a, b in zip(words.start[place].tolist(), words.end[place].tolist(), strict=True)]
-    if len(known) + len(spelled) > _REMEMBERED:
-        known.clear()
-    if len(parts) > _REMEMBERED:
-        parts.clear()
-    ids = []
-    for word in spelled:
-        found = known.get(word)
-        if found is None:
-            found = known[word] = np.array(_ids_of(word, tokenizer, parts), np.uint32).tobytes()
-        ids.append(found)
-    flat = np.frombuffer(b"".join(ids), np.uint32)
-    size = np.array([len(i) // 4 for i in ids], np.int64)
-    begin = np.cumsum(size) - size
-    many = size[which]
-    stop = np.cumsum(many)
-    every = flat[np.arange(stop[-1]) + np.repeat(begin[which] - (stop - many), many)]
-    edge = np.concatenate([[0], stop])[words.first]
-    return [every[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+
+class _Encoder:
+    """A tokenizer that drops white space, asked once for each different word, or for each part of plain words."""
+
+    def __init__(self, content: str):
+        from tokenizers import Tokenizer
+
+        whole = Tokenizer.from_str(content)
+        tokenize = whole.model.tokenize
+        self.words = _Remembered(lambda word: whole.encode(word, add_special_tokens=False).ids)
+        self.parts = _Remembered(
+            lambda part: [t.id for t in tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(_LETTERS))]
+        )
+        probe = "Don't \u00c9T\u00c9s' 'LL 12\u00bd3, x2y (a-b)!? caf\u00e9\u00ae na\u00efve It'S \u00dfTra\u00dfe '' 0.5"
+        self.alike = True
+        self.alike = self.ids(probe) == np.array(whole.encode(probe, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def ids(self, text: str) -> bytes:
+        if self.alike and _PLAIN.fullmatch(text) and "<|" not in text:
+            return b"".join(map(self.parts.__getitem__, _PART.findall(text.lower())))
+        return b"".join(map(self.words.__getitem__, _WORD.findall(text)))
+
+
+@lru_cache(1)
+def _encoder(content: str) -> _Encoder:
+    return _Encoder(content)
+
+
+def encode(texts: list, content: str) -> list[np.ndarray]:
+    """Token ids of texts (null: none)."""
+    encoder = _encoder(content)
+    return [np.frombuffer(encoder.ids(t or ""), "<u4") for t in texts]
 
 
 def token_pieces(
@@ -101,6 +108,7 @@ def token_pieces(
     """doc_id, piece, start, length, ids_crc32 (and ids): every document's tokens and ``end_id``, cut at capacity.
 
     ``tokenizer`` is the path of a tokenizer file that ignores white space between words. The driver reads it once.
+    Latin-1 texts are parted here, if a probe shows that the tokenizer parts them alike; it gets other words whole.
     """
     small_batches(docs.sparkSession)
     with open(tokenizer, encoding="utf-8") as f:
@@ -109,14 +117,12 @@ def token_pieces(
     def run(batches):
         for batch in slices(batches, 1):
             docs, out = batch.column(0).to_pylist(), []
-            texts = [canonical(t) for t in batch.column(1).to_pylist()]
-            for i, j in chunks(texts):
-                for doc, ids in zip(docs[i:j], encode(texts[i:j], content.value), strict=True):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    for piece, start in enumerate(range(0, len(ids), capacity)):
-                        part = ids[start : start + capacity]
-                        row = (doc, piece, start, len(part), zlib.crc32(part.tobytes()))
-                        out.append((*row, part.tolist()) if with_ids else row)
+            for doc, ids in zip(docs, encode(batch.column(1).to_pylist(), content.value), strict=True):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                for piece, start in enumerate(range(0, len(ids), capacity)):
+                    part = ids[start : start + capacity]
+                    row = (doc, piece, start, len(part), zlib.crc32(part.tobytes()))
+                    out.append((*row, part.tolist()) if with_ids else row)
             columns = list(zip(*out, strict=True)) or [[]] * (5 + with_ids)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
