@@ -11,7 +11,6 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flowsieve.llm.batches import small_batches
 from flowsieve.llm.links import components
@@ -107,7 +106,7 @@ class Weights:
             sample = _samples(float(values[usual]))[cell]
             for k, where in others:
                 sample[where] = _samples(float(values[k]))[cell[where]]
-            out[owner[first], j] = np.minimum.reduceat(sample | low, first)
+            out[owner[first], j] = np.minimum.reduceat((sample.astype(np.uint64) << np.uint64(32)) | low, first)
         return out
 
 
@@ -119,18 +118,18 @@ def mix_step(shingle: np.ndarray, j: int) -> np.ndarray:
 
 @lru_cache(64)
 def _samples(weight: float) -> np.ndarray:
-    """ln a of every table cell for one weight, as a number in the upper 32 bits that has the same order."""
+    """ln a of every table cell for one weight, as a 32-bit number that has the same order."""
     draw = np.random.default_rng(7)
     cells = 1 << _TABLE_BITS
     r, c, b = draw.gamma(2, 1, cells), draw.gamma(2, 1, cells), draw.random(cells)
     t = np.floor(np.log(weight) / r + b)
     bits = (np.log(c) - r * (t - b + 1)).astype(np.float32).view(np.int32).astype(np.int64)
     ordered = np.where(bits < 0, (~bits) & 0xFFFFFFFF, bits | 0x80000000)
-    return ordered.astype(np.uint64) << np.uint64(32)
+    return ordered.astype(np.uint32)
 
 
 def _digest(words: bytes) -> bytes:
-    return hashlib.blake2b(words, digest_size=16).digest()
+    return hashlib.sha256(words).digest()[:16]
 
 
 def sign(texts: DataFrame, weights: Weights, bands: int) -> DataFrame:
@@ -219,7 +218,7 @@ def verify(pairs: DataFrame, packed: DataFrame, weights: Weights, threshold: flo
 def verify_blocks(
     named: DataFrame, packed: DataFrame, weights: Weights, threshold: float, block: int
 ) -> DataFrame:
-    """Links (a, b) between different labels inside each bucket of ``named`` (key, node, label).
+    """Links (a, b) that join the labels inside each bucket of ``named`` (key, node, label).
 
     The members that do not have the bucket's commonest label (left) meet all members (right). Both sides are cut
     into blocks by node, and a task holds one left and one right block; a small bucket is one such pair.
@@ -266,47 +265,66 @@ def verify_blocks(
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
-        group, rows = None, []
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            a, b = [], []
-            columns = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
-            for row in zip(*columns, strict=True):
-                if row[:4] != group:
-                    for x, y in _links_of(rows, shared.value, threshold, unpack):
-                        a.append(x)
-                        b.append(y)
-                    group, rows = row[:4], []
-                rows.append(row[4:])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
-        last = list(_links_of(rows, shared.value, threshold, unpack))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x[k] for x in last], pa.binary()) for k in (0, 1)], names=["a", "b"]
-        )
+            for part in _same_group(batch):
+                if held and _group(held[0]) != _group(part):
+                    yield _links_of(held, shared.value, threshold, unpack)
+                    held = []
+                held.append(part)
+        if held:
+            yield _links_of(held, shared.value, threshold, unpack)
 
     return together.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def _links_of(rows: list, weights: Weights, threshold: float, unpack: zstandard.ZstdDecompressor) -> list:
-    """Links of one block pair: rows of (left, right, label, node, packed)."""
-    if not rows:
-        return []
-    left, right, label, node, packed = zip(*rows, strict=True)
-    owner, shingle, weight = weights.weigh(Words([unpack.decompress(p) for p in packed]))
+def _group(batch: pa.RecordBatch) -> tuple:
+    return tuple(batch.column(k)[0].as_py() for k in range(4))
+
+
+def _same_group(batch: pa.RecordBatch):
+    """Slices of a batch whose rows agree in the first four columns."""
+    if not batch.num_rows:
+        return
+    keys = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)])
+    edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        yield batch.slice(low, high - low)
+
+
+def _links_of(held: list[pa.RecordBatch], weights: Weights, threshold: float, unpack: zstandard.ZstdDecompressor) -> pa.RecordBatch:
+    """Links of one block pair that connect its labels: no more of them than labels, as what is connected stays so.
+
+    Columns: four of the group, left, right, label, node, packed. Every left text that still has another class to
+    meet is compared with all right texts.
+    """
+    column = [pa.concat_arrays([b.column(k) for b in held]) for k in range(4, 9)]
+    left, is_right = (column[k].to_numpy(zero_copy_only=False) for k in (0, 1))
+    names, label = np.unique(np.array(column[2].to_pylist(), object), return_inverse=True)
+    owner, shingle, weight = weights.weigh(Words([unpack.decompress(p.as_py()) for p in column[4]]))
     which, code = np.unique(shingle, return_inverse=True)
-    first = np.searchsorted(owner, np.arange(len(rows) + 1))
+    first = np.searchsorted(owner, np.arange(len(left) + 1))
     total = np.add.reduceat(weight, first[:-1])
-    is_right, names = np.array(right), np.array([hash(x) for x in label])
-    found, line = [], np.zeros(len(which))
-    for x in range(len(rows)):
-        if not left[x]:
+    top, line = np.arange(len(names)), np.zeros(len(which))  # top: the class that a label belongs to by now
+    a, b = [], []
+    for x in np.flatnonzero(left).tolist():
+        other = is_right & (top[label] != top[label[x]])
+        if not other.any():
             continue
         own = slice(first[x], first[x + 1])
         line[code[own]] = weight[own]
         shared = np.add.reduceat(np.minimum(line[code], weight), first[:-1])
         line[code[own]] = 0
-        near = is_right & (shared >= threshold * (total + total[x] - shared)) & (names != names[x])
-        found += [(min(node[x], node[y]), max(node[x], node[y])) for y in np.flatnonzero(near)]
-    return found
+        for y in np.flatnonzero(other & (shared >= threshold * (total + total[x] - shared))).tolist():
+            one, two = top[label[x]], top[label[y]]
+            if one != two:
+                top[top == two] = one
+                a.append(x)
+                b.append(y)
+    node = column[3]
+    ends = [node.take(pa.array(k, pa.int64())).to_pylist() for k in (a, b)]
+    pairs = [(min(p), max(p)) for p in zip(*ends, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
 
 def _named(table: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -340,8 +358,8 @@ def near_classes(
 
     A bucket of candidates never yields all its pairs. In each of ``rounds`` rounds, one member of each bucket,
     another one each time, is compared with the members that are not yet in its class. After them, the members
-    outside the largest class of a bucket are compared with every member, in blocks of ``block`` texts, and only
-    links come out, so no candidate link between classes is lost.
+    outside the largest class of a bucket are compared with every member, in blocks of ``block`` texts. Of the links of
+    a block only those come out that join two classes, so none is lost and a block yields fewer links than labels.
 
     A null text has no words; all documents without words are one class. A null identifier is never a class_id
     unless the class has no other. Rows that repeat an identifier and its words are one document. No column but
@@ -432,10 +450,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
 
 def node_of(text: Column) -> Column:
-    """The digest of a text's words, as in ``sign``."""
-
-    @F.pandas_udf(T.BinaryType())
-    def digests(values):
-        return values.map(lambda t: _digest(canonical(t)))
-
-    return digests(text.cast("string"))
+    """The digest of a text's words, as in ``sign``, without Python."""
+    words = F.trim(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    return F.unhex(F.substring(F.sha2(words.cast("binary"), 256), 1, 32))

@@ -345,12 +345,17 @@ def score_texts(
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    """The rows of ``docs`` that score below ``threshold``, with all their columns.
+
+    Whole rows go through the workers that scored before, as those of a column function would stay beside them.
+    """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
 
-    @F.pandas_udf("double")
-    def score(texts):
-        return texts.__class__(shared.value.score(texts.tolist()))
+    def run(batches):
+        for batch in slices(batches, at):
+            yield batch.filter(pa.array(shared.value.score(batch.column(at).to_pylist()) < threshold))
 
-    return docs.filter(score(F.col(text_col).cast("string")) < threshold)
+    text = F.col(f"`{text_col}`").cast("string")
+    return docs.withColumn(text_col, text).mapInArrow(run, docs.withColumn(text_col, text).schema)

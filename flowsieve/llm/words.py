@@ -50,6 +50,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4 * CHUN
             stop = max(start + 1, int(np.searchsorted(size, before + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        del batch
+        pa.default_memory_pool().release_unused()  # a worker lives on between tasks; what it keeps, others miss
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -61,7 +63,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 #: Powers known so far: one table per worker, which grows with the longest chunk up to _KEPT entries.
 _KNOWN: dict[str, np.ndarray] = {}
-_KEPT = 1 << 23
+_KEPT = 1 << 21
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -141,7 +141,7 @@ def test_near_classes(spark):
     truth, mine = jaccard_classes([" ".join(x.decode() for x in words_of(t)) for _, t, *_ in data]), {}
     by_id = defaultdict(set)
     for (i, t, *_), c in zip(data, truth, strict=True):
-        by_id[(i, hashlib.blake2b(canonical(t), digest_size=16).digest())].add(c)
+        by_id[(i, near._digest(canonical(t)))].add(c)
     for r in found:
         mine.setdefault((r.class_id, r.class_size), set()).update(by_id[(r.doc_id, bytes(r.node))])
     sizes = defaultdict(int)
