@@ -68,13 +68,26 @@ def cluster_summary(points: DataFrame, x: str = "x", cluster: str = "cluster") -
 
 
 def assign_nearest(points: DataFrame, centroids: np.ndarray, labels: list, x: str = "x", column: str = "cluster") -> DataFrame:
-    """Nearest of a few fixed centroids; the first label wins ties. One matrix product per batch."""
+    """Nearest of a few fixed centroids; the first label wins ties.
+
+    One matrix product per batch finds the centroids that rounding cannot tell from the best one; only between those
+    the squared differences decide, so that equal distances are equal.
+    """
     names, half = np.asarray(labels), (centroids**2).sum(axis=1) / 2
 
     @F.pandas_udf("int")
     def nearest(rows: pd.Series) -> pd.Series:
-        block = np.asarray(rows.to_list(), dtype=float)
-        return pd.Series(names[(half - block @ centroids.T).argmin(axis=1)].astype("int32"))
+        block = np.asarray(rows.to_list(), dtype=float).reshape(len(rows), -1)
+        score = half - block @ centroids.T
+        found = score.argmin(axis=1)
+        slack = 1e-12 * block.shape[1] * ((block**2).sum(axis=1) + 2 * half.max(initial=0.0) + 1)
+        open_rows = np.flatnonzero((score <= (score.min(axis=1) + slack)[:, None]).sum(axis=1) > 1)
+        for k in range(0, len(open_rows), 4_096):
+            at = open_rows[k : k + 4_096]
+            exact = ((block[at][:, None, :] - centroids[None, :, :]) ** 2).sum(axis=2)
+            exact[score[at] > (score[at].min(axis=1) + slack[at])[:, None]] = np.inf
+            found[at] = exact.argmin(axis=1)
+        return pd.Series(names[found].astype("int32"))
 
     return points.withColumn(column, nearest(x))
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,6 +142,15 @@ def quantiles(
         .agg(F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"), F.count(F.lit(1)).alias("n"))
         .select(*keys, value, "n", F.explode(F.array_compact(which)).alias("_i"))
     )
+    return _picked(counts, below, keys, value, asked, **options).select(*groups, "p", "quantile")
+
+
+def _picked(counts: DataFrame, below: DataFrame, keys: list[str], value: str, asked: list[float], **options) -> DataFrame:
+    """Quantiles (keys, p, quantile) from the values near every asked place.
+
+    ``counts`` (keys, value, n, _i) are the rows per value inside bracket ``_i``; ``below`` has per key the rows under
+    each bracket (``_b0``, ...) and in all (``total_n``).
+    """
     steps = lookup_join(running(counts, [*keys, "_i"], value, ["n"], **options).drop("total_n"), below, keys)
     base = F.array(*[F.col(f"_b{i}") for i in range(len(asked))])[F.col("_i")]
     steps = steps.withColumns(
@@ -159,4 +170,90 @@ def quantiles(
         )
     )
     share = F.col("place") - F.floor("place")
-    return picked.select(*groups, "p", (F.col("low") + (F.col("high") - F.col("low")) * share).alias("quantile"))
+    return picked.select(*keys, "p", (F.col("low") + (F.col("high") - F.col("low")) * share).alias("quantile"))
+
+
+def column_quantiles(
+    df: DataFrame, columns: list[str], probabilities: list[float], sketch: int = 2_000, margin: float = 0.005, **options
+) -> DataFrame:
+    """Exact quantiles of many numeric columns, with linear interpolation: columns ``feature``, ``p``, ``quantile``.
+
+    Two scans. The first merges one quantile sketch per column; with them every asked place lies between two values,
+    ``margin`` of the rows apart on either side. The second sorts each column batch by batch, counts what is below
+    the brackets by binary search and keeps the values inside, once each with their number. A sketch errs with some
+    probability: the counts show it, and then the brackets are widened. Missing values and NaN are left out.
+    """
+    asked = sorted({float(p) for p in probabilities})
+    spark, names = df.sparkSession, list(columns)
+    rows = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"c{k}") for k, c in enumerate(names)])
+    sketches = rows.agg(*[F.kll_sketch_agg_double(f"c{k}", F.lit(sketch)).alias(f"c{k}") for k in range(len(names))])
+    sketches = written(sketches, "sketches")
+    while True:
+        at = [min(1.0, max(0.0, p + sign * margin)) for p in asked for sign in (-1, 1)]
+        known = [F.kll_sketch_get_n_double(f"c{k}") > 0 for k in range(len(names))]
+        ranks = F.array(*[F.lit(q) for q in at])
+        edges = sketches.select(
+            *[F.when(has, F.kll_sketch_get_quantile_double(f"c{k}", ranks)).alias(f"c{k}") for k, has in enumerate(known)]
+        ).first()
+        low = np.array([(e or [0.0] * len(at))[0::2] for e in edges], float)
+        high = np.array([(e or [0.0] * len(at))[1::2] for e in edges], float)
+        low[:, np.array(at[0::2]) == 0.0], high[:, np.array(at[1::2]) == 1.0] = -np.inf, np.inf
+        found = written(rows.mapInArrow(_near_places(low, high), "feature int, i int, kind int, value double, n long"), "near-places")
+        figures = found.filter("kind > 0").groupBy("feature", "i", "kind").agg(F.sum("n").alias("n")).collect()
+        n = {(r["feature"], r["i"], r["kind"]): r["n"] for r in figures}
+        total = [n.get((k, 0, _TOTAL), 0) for k in range(len(names))]
+        missed = False
+        for k in range(len(names)):
+            for i, p in enumerate(asked):
+                place, under = (total[k] - 1) * p, n.get((k, i, _BELOW), 0)
+                missed |= total[k] > 0 and not under <= np.floor(place) <= np.ceil(place) < under + n.get((k, i, _INSIDE), 0)
+        if not missed:
+            break
+        margin *= 4
+    below = spark.createDataFrame(
+        [(k, *[n.get((k, i, _BELOW), 0) for i in range(len(asked))], total[k]) for k in range(len(names))],
+        ", ".join(["feature int", *[f"_b{i} long" for i in range(len(asked))], "total_n long"]),
+    )
+    counts = found.filter("kind = 0").groupBy("feature", F.col("i").alias("_i"), "value").agg(F.sum("n").alias("n"))
+    named = F.array(*[F.lit(c) for c in names])
+    picked = _picked(counts, below, ["feature"], "value", asked, **options)
+    return picked.select(named[F.col("feature")].alias("feature"), "p", "quantile")
+
+
+_TOTAL, _BELOW, _INSIDE = 1, 2, 3
+
+
+def _near_places(low: np.ndarray, high: np.ndarray):
+    """Function for Arrow batches: per column and bracket, values inside (kind 0), and at the end the rows under it,
+    inside it, and in all."""
+    features, places = low.shape
+
+    def run(batches):
+        under, inside, total = np.zeros((features, places), np.int64), np.zeros((features, places), np.int64), np.zeros(features, np.int64)
+        for batch in batches:
+            parts = []
+            for k in range(features):
+                x = np.sort(batch.column(k).drop_null().to_numpy(zero_copy_only=False))
+                total[k] += len(x)
+                first, last = np.searchsorted(x, low[k], "left"), np.searchsorted(x, high[k], "right")
+                under[k] += first
+                inside[k] += last - first
+                for i in np.flatnonzero(last > first).tolist():
+                    value, n = np.unique(x[first[i] : last[i]], return_counts=True)
+                    parts.append((np.full(len(value), k), np.full(len(value), i), np.zeros(len(value)), value, n))
+            if parts:
+                yield _places(*(np.concatenate(c) for c in zip(*parts, strict=True)))
+        k, i = np.divmod(np.arange(features * places), places)
+        for kind, n in ((_BELOW, under), (_INSIDE, inside)):
+            yield _places(k, i, np.full(len(k), kind), np.zeros(len(k)), n.ravel())
+        yield _places(np.arange(features), np.zeros(features), np.full(features, _TOTAL), np.zeros(features), total)
+
+    return run
+
+
+def _places(feature, i, kind, value, n) -> pa.RecordBatch:
+    whole = [pa.array(np.asarray(c, np.int32)) for c in (feature, i, kind)]
+    return pa.RecordBatch.from_arrays(
+        [*whole, pa.array(np.asarray(value, float)), pa.array(np.asarray(n, np.int64))],
+        names=["feature", "i", "kind", "value", "n"],
+    )

@@ -7,13 +7,16 @@ frequent categories) reach the driver.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsieve.functions import columns as C
-from flowsieve.operators.cumulative import quantiles
+from flowsieve.operators.cumulative import column_quantiles
 
 MIN_CATEGORY_ROWS = 20
 MAX_CATEGORIES = 10_000
@@ -22,8 +25,7 @@ INFREQUENT = "infrequent"
 
 def medians(df: DataFrame, numeric: list[str]) -> DataFrame:
     """Exact median per column: columns ``feature``, ``value``."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in numeric]).unpivot([], numeric, "feature", "x")
-    return quantiles(long, ["feature"], "x", [0.5]).select("feature", F.col("quantile").alias("value"))
+    return column_quantiles(df, numeric, [0.5]).select("feature", F.col("quantile").alias("value"))
 
 
 def category_counts(df: DataFrame, categorical: list[str]) -> DataFrame:
@@ -116,27 +118,36 @@ def mutual_information(
 ) -> DataFrame:
     """Mutual information (nats) of every feature with the label, from quantile bins.
 
-    Numeric features are cut at their exact quantiles; every category is one yes/no feature. All features
-    are counted in one grouped pass. This is a binned estimate, not a nearest-neighbour one.
+    Numeric features are cut at their exact quantiles; every category is one yes/no feature. One pass counts the bins of
+    all numeric features by binary search, one the categories. This is a binned estimate, not a nearest-neighbour one.
     """
     fitted = fit_preparation(df, [], categorical)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in numeric]).unpivot([], numeric, "feature", "x")
     cuts: dict[str, list[float]] = {c: [] for c in numeric}
-    for r in quantiles(long, ["feature"], "x", [i / bins for i in range(1, bins)]).collect():
+    for r in column_quantiles(df, numeric, [i / bins for i in range(1, bins)]).collect():
         cuts[r["feature"]].append(r["quantile"])
-    cells = []
-    for c in numeric:
-        slot = F.lit(0)
-        for cut in sorted(set(cuts[c])):
-            slot = slot + (F.col(c).cast("double") > F.lit(cut)).cast("int")
-        cells.append(F.struct(F.lit(f"num__{c}").alias("feature"), slot.alias("bin")))
-    for name, value in fitted.encoded().items():
-        cells.append(F.struct(F.lit(name).alias("feature"), value.cast("int").alias("bin")))
-    counts = (
-        df.select(F.col(label).alias("y"), F.inline(F.array(*cells)))
-        .groupBy("feature", "bin", "y")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    numbers = df.select(F.col(label).cast("long").alias("y"), *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"c{k}") for k, c in enumerate(numeric)])
+    edges = [np.array(sorted(set(cuts[c])), float) for c in numeric]
+    binned = numbers.mapInArrow(_bin_counts(edges), "feature int, bin long, y long, n long")
+    named = F.array(*[F.lit(f"num__{c}") for c in numeric])
+    parts = [binned.groupBy("feature", "bin", "y").agg(F.sum("n").alias("n")).withColumn("feature", named[F.col("feature")])] if numeric else []
+    # Every category is counted once per label; what has another category is the rest.
+    names = [c for c in categorical if fitted.frequent[c] or fitted.rare[c]]
+    if names:
+        kinds = df.select(F.col(label).cast("long").alias("y"), *[fitted.category(c).alias(c) for c in names])
+        counted = kinds.unpivot(["y"], names, "column", "value").groupBy("column", "value", "y").agg(F.count(F.lit(1)).alias("n"))
+        frequent = F.create_map(*[x for c in names for x in (F.lit(c), F.array(*[F.lit(v) for v in fitted.frequent[c]]).cast("array<string>"))])
+        rare = F.create_map(*[x for c in names for x in (F.lit(c), F.array(*[F.lit(v) for v in fitted.rare[c]]).cast("array<string>"))])
+        own = F.when(F.array_contains(frequent[F.col("column")], F.col("value")), F.col("value")).when(
+            F.array_contains(rare[F.col("column")], F.col("value")), F.lit(INFREQUENT)
+        )
+        known = counted.withColumn("own", F.concat(F.lit("cat__"), "column", F.lit("_"), own))
+        hits = known.filter("own IS NOT NULL").groupBy(F.col("own").alias("feature"), "y").agg(F.sum("n").alias("n"))
+        labels = known.filter(F.col("column") == names[0]).groupBy("y").agg(F.sum("n").alias("total"))
+        every = hits.select("feature").distinct().join(F.broadcast(labels), how="cross")  # features x classes rows
+        both = every.join(hits, ["feature", "y"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        cells = F.array(*[F.struct(F.lit(b).cast("long").alias("bin"), x.cast("long").alias("n")) for b, x in ((1, F.col("n")), (0, F.col("total") - F.col("n")))])
+        parts.append(both.select("feature", "y", F.inline(cells)).filter("n > 0").select("feature", "bin", "y", "n"))
+    counts = reduce(DataFrame.unionByName, parts)
     # features x bins x classes rows from here on
     by_feature = Window.partitionBy("feature")
     n = F.col("n").cast("double")
@@ -151,6 +162,29 @@ def mutual_information(
     )
 
 
+def _bin_counts(edges: list[np.ndarray]):
+    """Function for Arrow batches of (label, columns): rows per column, bin and label of a task; missing values are bin -1."""
+
+    def run(batches):
+        found: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            y = batch.column(0).to_numpy(zero_copy_only=False)
+            for label in np.unique(y).tolist():
+                mine = found.setdefault(label, [np.zeros(len(e) + 2, np.int64) for e in edges])
+                at = np.flatnonzero(y == label)
+                for k, e in enumerate(edges):
+                    x = batch.column(k + 1).to_numpy(zero_copy_only=False)[at]
+                    slot = np.where(np.isnan(x), -1, np.searchsorted(e, x, "left"))
+                    mine[k] += np.bincount(slot + 1, minlength=len(e) + 2)
+        rows = [(k, b - 1, y, n) for y, tables in found.items() for k, t in enumerate(tables) for b, n in enumerate(t.tolist()) if n]
+        kinds = pa.int32(), pa.int64(), pa.int64(), pa.int64()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], names=["feature", "bin", "y", "n"]
+        )
+
+    return run
+
+
 def clean(df: DataFrame, columns: list[str]) -> DataFrame:
     """Missing and infinite values become 0."""
     return df.withColumns({c: C.finite_or_zero(F.col(c).cast("double")) for c in columns})

@@ -1,8 +1,8 @@
 """Feature preparation and supervised models.
 
-Preparation has SQL twins. Fitted models have none for their scores: their queries write the scores and count
-rows, positives and keys, which SQL can check; the tests check properties. Queries with several fits use fewer
-trees and solver iterations than the library defaults.
+Preparation has SQL twins. Queries of fitted models return whole scores and metric tables; SQL cannot repeat a fit,
+so the tests check them: counts, metrics computed again from the scores, and that a constant model fails. Queries
+with several fits use fewer trees and solver iterations than the library defaults.
 """
 
 from __future__ import annotations
@@ -16,8 +16,7 @@ from flowsieve.operators import selection as S
 from flowsieve.operators.graph import retrospective_features
 from flowsieve.operators.history import add_history_features
 from flowsieve.operators.reports import top_k
-from flowsieve.plans.evaluation import _NESTED_SQL, FOLDS_SQL, SPLIT_SQL, ranked_sql
-from flowsieve.plans.graph import POSITIONS_SQL, SPLIT_CASE
+from flowsieve.plans.evaluation import SPLIT_SQL
 from flowsieve.plans.star import featured, payments_sql, table
 from flowsieve.session import scratch_path, written
 from flowsieve.sources.payments import write_predictions
@@ -168,7 +167,8 @@ _MATRIX_SQL = f"WITH {TXN}, v AS MATERIALIZED ({base_values_sql('txn')}) " + " U
 
 
 def _mi(spark, sf_dir, fit_on="train"):
-    rows = written(X.stratified_split(featured(spark, sf_dir), KEY).select(*TRAIN_COLUMNS, "split"), "rows")
+    # The split only compares with two cutoffs: the join behind the rows is written before it, the rest is a scan.
+    rows = X.stratified_split(written(featured(spark, sf_dir).select(*TRAIN_COLUMNS), "rows"), KEY)
     if fit_on == "train":
         rows = rows.filter(F.col("split") == "train")
     return P.mutual_information(rows, BASE_NUMERIC, CATEGORICAL)
@@ -224,42 +224,16 @@ def model_rows(spark, sf_dir, graph: bool = False):
     return written(X.nested_split(rows, KEY), "split-rows")
 
 
-def audited(scored, *by):
-    """Written scores counted per ``by``: rows, positives, keys, and rows with a finite score."""
-    scored = written(scored, "audited-scores")
-    finite = F.col("score").isNotNull() & ~F.isnan("score") & (F.abs("score") < float("inf"))
-    return scored.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum("is_laundering").cast("long").alias("positives"),
-        F.count_distinct(KEY).alias("keys"),
-        F.count_if(finite).alias("scored"),
-    )
-
-
-_AUDIT = "count(*) AS rows, CAST(sum(is_laundering) AS BIGINT) AS positives, count(DISTINCT row_key) AS keys, count(*) AS scored"
-_SCORES_SQL = f"""WITH nested AS MATERIALIZED ({_NESTED_SQL}), {TXN}
-SELECT split, {_AUDIT} FROM nested JOIN txn USING (row_key) GROUP BY split"""
-_OOF_SQL = f"""WITH {TXN}, {SPLIT_SQL}, {FOLDS_SQL.replace(ranked_sql('txn', X.FOLD_SEED), ranked_sql("(SELECT * FROM split_rows WHERE split = 'train')", X.FOLD_SEED))}
-SELECT fold, {_AUDIT} FROM fold_rows GROUP BY fold"""
-
-
-def counted(metrics, *by):
-    """Rows and positives behind each confusion table."""
-    return metrics.select(
-        *by,
-        (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("rows"),
-        (F.col("fn") + F.col("tp")).alias("positives"),
-    )
-
-
-_TEST_COUNTS = "count(*) AS rows, CAST(sum(is_laundering) AS BIGINT) AS positives"
+def whole(scored, *by):
+    """Every row's score, written once."""
+    return written(scored.select(KEY, *by, "is_laundering", "score"), "scores")
 
 
 def _scores(spec):
     def run(spark, sf_dir):
         rows = model_rows(spark, sf_dir)
         fitted = L.fit_model(spec, rows.filter(F.col("split") == "fit"), OVERRIDES.get(spec.name))
-        return audited(fitted.score(rows), "split")
+        return whole(fitted.score(rows), "split")
 
     return run
 
@@ -267,7 +241,7 @@ def _scores(spec):
 def supervised_metrics(spark, sf_dir):
     """All families with and without graph features, evaluated on train, test and full."""
     rows = model_rows(spark, sf_dir, graph=True)
-    return counted(L.evaluate_models(L.ALL_SPECS, rows, OVERRIDES)[0], "model", "split")
+    return L.evaluate_models(L.ALL_SPECS, rows, OVERRIDES)[0]
 
 
 def feature_importance(spark, sf_dir):
@@ -282,8 +256,7 @@ GRID_SPECS = [L.LOGISTIC, L.TREE]
 def grid_search(spark, sf_dir):
     rows = model_rows(spark, sf_dir)
     train, test = rows.filter(F.col("split") != "test"), rows.filter(F.col("split") == "test")
-    found = S.grid_search(GRID_SPECS, train.drop("split"), test.drop("split"), KEY, overrides=OVERRIDES)[0]
-    return counted(found, "model")
+    return S.grid_search(GRID_SPECS, train.drop("split"), test.drop("split"), KEY, overrides=OVERRIDES)[0]
 
 
 def grid_candidates(spark, sf_dir):
@@ -295,13 +268,13 @@ def grid_candidates(spark, sf_dir):
 def oof_scores(spark, sf_dir):
     train = X.stratified_folds(model_rows(spark, sf_dir).filter(F.col("split") != "test").drop("split"), KEY)
     held = S.cross_validate(L.LOGISTIC, [{"C": 1.0, **OVERRIDES.get(L.LOGISTIC.name, {})}], written(train, "folds"))[1]
-    return audited(held, "fold")
+    return whole(held, "fold")
 
 
 def topk_retrain(spark, sf_dir):
     rows = model_rows(spark, sf_dir)
     ranking = P.mutual_information(rows.filter(F.col("split") == "fit"), BASE_NUMERIC, CATEGORICAL)
-    return counted(S.top_k_ablation(rows, ranking, L.BOOSTING, overrides=OVERRIDES.get(L.BOOSTING.name)), "feature_set", "n_features")
+    return S.top_k_ablation(rows, ranking, L.BOOSTING, overrides=OVERRIDES.get(L.BOOSTING.name))
 
 
 def feature_ablation_table(spark, sf_dir):
@@ -309,8 +282,7 @@ def feature_ablation_table(spark, sf_dir):
     ranking = P.mutual_information(rows.filter(F.col("split") == "fit"), BASE_NUMERIC, CATEGORICAL)
     ablation = S.top_k_ablation(rows, ranking, L.TREE)
     metrics, _ = L.evaluate_models([L.TREE], rows)
-    found = S.feature_ablation_table(ablation, metrics, {L.TREE.name: "All base features (pipeline result)"})
-    return counted(found, "feature_set", "n_features")
+    return S.feature_ablation_table(ablation, metrics, {L.TREE.name: "All base features (pipeline result)"})
 
 
 QUICK_GRID = {"learning_rate": [0.08, 0.12], "max_leaf_nodes": [15], "class_weight": [None, "balanced"]}
@@ -330,14 +302,8 @@ def scored_predictions(spark, sf_dir):
     predictions = _temporal(spark, sf_dir)[2]
     path = scratch_path(spark, "predictions")
     write_predictions(predictions, path)
-    finite = {c: F.col(c).isNotNull() & ~F.isnan(c) for c in ("base_score", "strict_history_score")}
-    return spark.read.parquet(path).withColumns({"ts": F.col("ts").cast("string"), **finite})
-
+    return spark.read.parquet(path).withColumn("ts", F.col("ts").cast("string"))
 
-_ABLATIONS = f"""sets AS (
-  SELECT 'All encoded features' AS feature_set, CAST({len(BASE_NUMERIC)} + {" + ".join(f"count(DISTINCT {c})" for c in CATEGORICAL)}
-    AS INTEGER) AS n_features FROM txn
-  UNION ALL SELECT 'Top-' || k || ' mutual information features', CAST(k AS INTEGER) FROM (SELECT unnest([5, 10, 20]) AS k))"""
 
 QUERIES = {
     "impute_stats": impute_stats,
@@ -374,20 +340,4 @@ SQL = {
   ORDER BY 2 DESC, 1 LIMIT 10""",
     "class_weights": f"""WITH {TXN} SELECT is_laundering, count(*) AS n,
   round(CAST((SELECT count(*) FROM txn) AS DOUBLE) / 2 / count(*), 9) AS weight FROM txn GROUP BY 1""",
-    **{f"{name}_scores": _SCORES_SQL for name in ("logistic", "tree", "svm", "forest", "gbt")},
-    "oof_scores": _OOF_SQL,
-    "supervised_metrics": f"""WITH {TXN}, {SPLIT_SQL}, named AS (
-  SELECT unnest([{", ".join(f"'{s.name}'" for s in L.ALL_SPECS)}]) AS model),
-every AS (SELECT split, is_laundering FROM split_rows UNION ALL SELECT 'full', is_laundering FROM split_rows)
-SELECT model, split, {_TEST_COUNTS} FROM every, named GROUP BY model, split""",
-    "grid_search": f"""WITH {TXN}, {SPLIT_SQL}, named AS (
-  SELECT unnest([{", ".join(f"'{s.name}'" for s in GRID_SPECS)}]) AS model)
-SELECT model, {_TEST_COUNTS} FROM split_rows, named WHERE split = 'test' GROUP BY model""",
-    "topk_retrain": f"""WITH {TXN}, {SPLIT_SQL}, {_ABLATIONS}
-SELECT feature_set, n_features, {_TEST_COUNTS} FROM split_rows, sets WHERE split = 'test' GROUP BY ALL""",
-    "feature_ablation_table": f"""WITH {TXN}, {SPLIT_SQL}, {_ABLATIONS}, listed AS (
-  SELECT * FROM sets UNION ALL SELECT 'All base features (pipeline result)', NULL)
-SELECT feature_set, n_features, {_TEST_COUNTS} FROM split_rows, listed WHERE split = 'test' GROUP BY ALL""",
-    "scored_predictions": f"""WITH {TXN}, {POSITIONS_SQL} SELECT row_key, CAST(ts AS VARCHAR) AS ts, is_laundering AS y_true,
-  TRUE AS base_score, TRUE AS strict_history_score FROM positions WHERE {SPLIT_CASE} = 'test'""",
 }

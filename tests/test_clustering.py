@@ -126,3 +126,12 @@ def test_kmeans_and_projection_are_repeatable(blobs):
     assert len(flat.first()["x"]) == 2
     profile = K.highest_positive_rate(df.withColumn("y", (F.col("id") < 75).cast("int")), "y").first()[0]
     assert 0 < profile <= 1
+
+
+def test_equal_distances_go_to_the_first_label(spark):
+    """Exact ties, also where a matrix product rounds the two distances apart."""
+    rng = np.random.default_rng(9)
+    centroids = np.array([[1.0, 0.3, 7.0], [4.0, 0.3, 7.0], [9.5, 0.3, 7.0]])
+    points = [(i, [2.5 if i % 2 else 6.75, float(rng.random() * 1000), float(rng.random())]) for i in range(4000)]
+    rows = K.assign_nearest(spark.createDataFrame(points, "id int, x array<double>"), centroids, [5, 6, 8]).collect()
+    assert {(r.id % 2, r.cluster) for r in rows} == {(1, 5), (0, 6)}

@@ -3,12 +3,13 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from flowsieve.operators import bootstrap as B
 from flowsieve.operators import metrics as M
-from flowsieve.operators.cumulative import quantiles, running, value_counts
+from flowsieve.operators.cumulative import column_quantiles, quantiles, running, value_counts
 
 
 @pytest.fixture(scope="module")
@@ -124,3 +125,20 @@ def test_bootstrap_weights_and_interval(spark):
 def test_replicates_without_both_classes_are_left_out(spark):
     df = spark.createDataFrame([("a", 1, 0.5, 0.5), ("b", 1, 0.2, 0.2)], "row_key string, is_laundering int, a double, b double")
     assert B.bootstrap_deltas(df, "row_key", "a", "b", replicates=8).count() == 0
+
+
+@pytest.mark.parametrize("margin", [0.005, 1e-6])
+def test_quantiles_of_columns(spark, margin):
+    """Exact whatever the brackets: with a tiny margin the sketches miss, and the brackets are widened."""
+    rng = np.random.default_rng(4)
+    frame = pd.DataFrame(
+        {"smooth": rng.normal(0, 1, 20_000), "few": rng.integers(0, 4, 20_000).astype(float), "one": 7.0,
+         "holes": np.where(rng.random(20_000) < 0.3, np.nan, rng.exponential(1, 20_000)), "none": np.nan}
+    )
+    df = spark.createDataFrame(frame).repartition(7)
+    asked = [0.0, 0.1, 0.5, 0.9375, 1.0]
+    got = {(r.feature, r.p): r.quantile for r in column_quantiles(df, list(frame), asked, sketch=200, margin=margin).collect()}
+    assert len(got) == 4 * len(asked)
+    for c in ("smooth", "few", "one", "holes"):
+        for p in asked:
+            assert got[c, p] == pytest.approx(frame[c].quantile(p), abs=1e-12)

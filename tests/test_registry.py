@@ -15,7 +15,7 @@ CORE = [
     "sender_aggregates", "account_features", "pagerank", "frozen_snapshot", "chrono_split", "stratified_folds",
     "average_precision", "roc_curve", "metrics_by_split", "threshold_sweep", "paired_bootstrap", "candidate_rank",
     "standardize", "mutual_information", "silhouette", "cluster_agreement", "dbscan", "stream_rates",
-    "stream_late_rows",
+    "stream_late_rows", "stream_windows", "stream_history", "cluster_max_rate", "txn_cluster_profile",
 ]
 NAMES = sorted(registry.oracle_sql()) if os.environ.get("FLOWSIEVE_ORACLES") == "all" else CORE
 
@@ -54,3 +54,15 @@ def test_entry(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() == 6000
+
+
+def test_tree_scores_are_whole_and_telling(spark, sf_dir):
+    """A constant model, or one that drops rows, fails here."""
+    from flowsieve.operators.metrics import ranking_metrics
+
+    got = registry.queries()["tree_scores"](spark, sf_dir)
+    rows = got.collect()
+    assert len({r["row_key"] for r in rows}) == len(rows) == 6000
+    assert {r["split"] for r in rows} == {"fit", "validation", "test"} and len({r["score"] for r in rows}) > 5
+    fitted = ranking_metrics(got.filter("split = 'fit'")).first()
+    assert fitted["pr_auc"] > 2 * sum(r["is_laundering"] for r in rows) / len(rows)
