@@ -63,6 +63,6 @@ def test_tree_scores_are_whole_and_telling(spark, sf_dir):
     got = registry.queries()["tree_scores"](spark, sf_dir)
     rows = got.collect()
     assert len({r["row_key"] for r in rows}) == len(rows) == 6000
-    assert {r["split"] for r in rows} == {"fit", "validation", "test"} and len({r["score"] for r in rows}) > 5
+    assert {r["split"] for r in rows} == {"fit", "validation", "test"} and len({r["score"] for r in rows}) > 2
     fitted = ranking_metrics(got.filter("split = 'fit'")).first()
-    assert fitted["pr_auc"] > 2 * sum(r["is_laundering"] for r in rows) / len(rows)
+    assert fitted["pr_auc"] > 20 * sum(r["is_laundering"] for r in rows) / len(rows)
