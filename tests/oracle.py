@@ -32,6 +32,12 @@ def _kind(series: pd.Series) -> str:
     return str(series.dtype)
 
 
+def _whole_numbers_with_gaps(frame: pd.DataFrame) -> pd.DataFrame:
+    """Integers with missing values are of one kind on one side and of another on the other side."""
+    gaps = [c for c in frame.columns if pd.api.types.is_numeric_dtype(frame[c]) and frame[c].isna().any()]
+    return frame.assign(**{c: frame[c].astype(float) for c in gaps})
+
+
 def _canonical(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame[sorted(frame.columns)]
     text = frame.apply(lambda s: s.map(lambda v: "NULL" if v is None or v != v else repr(v)))
@@ -44,6 +50,7 @@ def compare(spark_frame: pd.DataFrame, sql_frame: pd.DataFrame) -> str:
         return f"columns {sorted(spark_frame.columns)} != {sorted(sql_frame.columns)}"
     if len(spark_frame) != len(sql_frame):
         return f"rows {len(spark_frame)} != {len(sql_frame)}"
+    spark_frame, sql_frame = _whole_numbers_with_gaps(spark_frame), _whole_numbers_with_gaps(sql_frame)
     notes = []
     for c in spark_frame.columns:
         if _kind(spark_frame[c]) != _kind(sql_frame[c]):
