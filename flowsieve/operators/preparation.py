@@ -123,7 +123,7 @@ def mutual_information(
     """
     fitted = fit_preparation(df, [], categorical)
     cuts: dict[str, list[float]] = {c: [] for c in numeric}
-    for r in column_quantiles(df, numeric, [i / bins for i in range(1, bins)]).collect():
+    for r in column_quantiles(df, numeric, [i / bins for i in range(1, bins)]).collect() if numeric else []:
         cuts[r["feature"]].append(r["quantile"])
     numbers = df.select(F.col(label).cast("long").alias("y"), *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"c{k}") for k, c in enumerate(numeric)])
     edges = [np.array(sorted(set(cuts[c])), float) for c in numeric]
