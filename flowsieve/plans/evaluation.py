@@ -17,7 +17,6 @@ from flowsieve.session import written
 TXN = payments_sql()
 KEY = "row_key"
 BUDGET = 100
-REPLICATES = 20
 
 
 def scored(spark, sf_dir):
@@ -233,21 +232,25 @@ FROM (SELECT *, {_RATES} FROM counts), (SELECT {AP} AS pr_auc, {AUC} AS roc_auc
 
 
 def paired_bootstrap(spark, sf_dir):
-    deltas = B.bootstrap_deltas(scored(spark, sf_dir), KEY, "score_b", "score", replicates=REPLICATES)
+    deltas = B.bootstrap_deltas(scored(spark, sf_dir), KEY, "score_b", "score")
     return _rounded(deltas, ["base_pr_auc", "enhanced_pr_auc", "delta"])
 
 
 def bootstrap_interval(spark, sf_dir):
-    deltas = B.bootstrap_deltas(scored(spark, sf_dir), KEY, "score_b", "score", replicates=REPLICATES)
+    deltas = B.bootstrap_deltas(scored(spark, sf_dir), KEY, "score_b", "score")
     return _rounded(B.bootstrap_interval(written(deltas, "deltas")), ["ci_lower_95", "ci_upper_95"])
 
 
 _WEIGHT = "CASE " + " ".join(f"WHEN u < CAST({c} AS DOUBLE) THEN {k}" for k, c in enumerate(B.POISSON_CUMULATIVE)) + (
     f" ELSE {len(B.POISSON_CUMULATIVE)} END"
 )
-_BOOTSTRAP_SQL = f"""WITH {TXN}, drawn AS (SELECT row_key, is_laundering, score, score_b, replicate,
-    CAST(CAST('0x' || substr(md5(row_key || '#' || (replicate // 4)), 1 + 7 * (replicate % 4), 7) AS BIGINT) AS DOUBLE)
-      / 268435456 AS u FROM txn, range({REPLICATES}) t(replicate)),
+_COEFFICIENTS = ", ".join(
+    f"CAST('0x' || substr(md5(row_key), {1 + 7 * i}, 7) AS BIGINT) AS c{i}" for i in range(B.COEFFICIENTS)
+)
+_BOOTSTRAP_SQL = f"""WITH {TXN}, seeded AS MATERIALIZED (SELECT is_laundering, score, score_b, {_COEFFICIENTS} FROM txn),
+drawn AS (SELECT is_laundering, score, score_b, replicate,
+    CAST((((c3 * replicate + c2) % {B.PRIME} * replicate + c1) % {B.PRIME} * replicate + c0) % {B.PRIME} AS DOUBLE) / {B.PRIME} AS u
+  FROM seeded, range({B.REPLICATES}) t(replicate)),
 weighted AS MATERIALIZED (SELECT * FROM (SELECT *, {_WEIGHT} AS weight FROM drawn) WHERE weight > 0),
 {points_sql('weighted', 'replicate', 'score_b', 'weight', 'base_points')},
 {points_sql('weighted', 'replicate', 'score', 'weight', 'enhanced_points')},

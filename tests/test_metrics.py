@@ -1,5 +1,6 @@
 """Rare-event metrics, quantiles, bootstrap."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -108,13 +109,49 @@ def test_published_style_average_precision(spark, sf_dir):
     assert M.average_precision_of(M.operating_points(scored(spark, path))).first()[0] == pytest.approx(0.436078681, abs=1e-9)
 
 
-def test_bootstrap_weights_and_interval(spark):
+def _coefficients(keys):
+    digests = [hashlib.md5(k.encode()).hexdigest() for k in keys]
+    return np.array([[int(d[7 * i : 7 * i + 7], 16) for i in range(B.COEFFICIENTS)] for d in digests])
+
+
+def test_bootstrap_weights_are_poisson():
+    weights = B.weights_of(_coefficients([f"k{i}" for i in range(4000)]), 50)
+    assert weights.mean() == pytest.approx(1.0, abs=0.02) and weights.var() == pytest.approx(1.0, abs=0.03)
+    # Neither rows nor replicates follow one another.
+    assert abs(np.corrcoef(weights.T) - np.eye(50)).max() < 0.08
+    assert abs(np.corrcoef(weights[:50]) - np.eye(50)).max() < 0.7
+
+
+@pytest.mark.parametrize("slices", [{}, {"slice_rows": 40, "max_slices": 64, "salts": 3}])
+def test_bootstrap_equals_brute_force(spark, slices):
+    """Ties, a score that a third of all rows share, missing scores; the slices do not matter."""
+    rng = np.random.default_rng(5)
+    n = 1500
+    keys = [f"k{i}" for i in range(n)]
+    y = (rng.random(n) < 0.2).astype(int)
+    a = np.round(rng.random(n), 2)
+    a[rng.random(n) < 0.33] = 0.5
+    b = np.where(rng.random(n) < 0.1, np.nan, rng.random(n) + 0.3 * y)
+    rows = [(k, int(t), float(u), None if np.isnan(v) and i % 2 else float(v)) for i, (k, t, u, v) in enumerate(zip(keys, y, a, b))]
+    df = spark.createDataFrame(rows, "row_key string, is_laundering int, a double, b double").repartition(5)
+    got = {r["replicate"]: r for r in B.bootstrap_deltas(df, "row_key", "a", "b", replicates=7, **slices).collect()}
+    weights = B.weights_of(_coefficients(keys), 7)
+    assert sorted(got) == list(range(7))
+    for side, score in (("base_pr_auc", a), ("enhanced_pr_auc", np.where(np.isnan(b), -np.inf, b))):
+        for r in range(7):
+            want, w = 0.0, weights[:, r]
+            for value in np.unique(score):
+                above = score >= value
+                hits = (w * y)[above].sum()
+                if w[above].sum():
+                    want += (w * y)[score == value].sum() * hits / w[above].sum()
+            assert got[r][side] == pytest.approx(want / (w * y).sum(), abs=1e-12)
+
+
+def test_bootstrap_interval(spark):
     rng = random.Random(8)
     rows = [(f"k{i}", int(rng.random() < 0.3), round(rng.random(), 2), 0.0) for i in range(400)]
     df = spark.createDataFrame([(k, y, a, a + y) for k, y, a, _ in rows], "row_key string, is_laundering int, a double, b double")
-    weights = B.replicate_weights(df, "row_key", 30)
-    mean = weights.agg(F.sum("weight")).first()[0] / (400 * 30)
-    assert mean == pytest.approx(1.0, abs=0.05)
     deltas = B.bootstrap_deltas(df, "row_key", "a", "b", replicates=30)
     got = B.bootstrap_interval(deltas).first()
     assert got["bootstrap_resamples"] == 30 and 0 < got["ci_lower_95"] < got["ci_upper_95"]
