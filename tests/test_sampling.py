@@ -74,3 +74,35 @@ def test_natural_prior(rows):
     capped = X.natural_prior_sample(split, split.filter(F.col("split") == "test"), "row_key", max_negatives=10)
     # a bound on the negatives thins the positives by the same share, so the prior stays natural
     assert sizes(capped, "is_laundering") == {(1,): 1, (0,): 10}
+
+
+def test_radix_selection_with_tiny_bounds(spark, rows):
+    """Every bound gives the same cutoff; a third of all rows share a time, some a key as well."""
+    data = [(f"k{i:04d}", i % 5, 60 * (7 if i % 3 == 0 else i % 11)) for i in range(900)] + [("k0000", 0, 420)] * 30
+    df = spark.createDataFrame(data, "row_key string, part int, t long").withColumn("ts", F.timestamp_seconds("t")).repartition(6)
+    ordered = sorted((t, k) for k, _, t in data)
+    levels = [F.floor(F.col("t") / 600), F.col("t"), *X.digits(df, "row_key")]
+    order = [F.col("t"), F.col("row_key")]
+    places = [1, 2, 300, 465, 929, 930]
+    for bound in (1, 20, 10**6):
+        cuts = X.rank_cutoffs(df, levels, order, [lambda n, k=k: F.lit(k) for k in places], boundary_rows=bound)
+        assert {c.target: c.values for c in cuts} == {i: ordered[k - 1] for i, k in enumerate(places)}
+    levels, order = X._hash_order("row_key", 42)
+    ranks = [lambda n: F.floor(n / 2), lambda n: F.lit(0), lambda n: n + 5]
+    cuts = [
+        sorted(((c.group, c.target, c.size, c.rank, c.values) for c in X.rank_cutoffs(df, levels, order, ranks, F.col("part"), bound)), key=str)
+        for bound in (1, 10**6)
+    ]
+    assert cuts[0] == cuts[1] and len(cuts[0]) == 15
+
+
+def test_integer_digits_keep_the_order(spark):
+    values = [-(2**63), -70_000, -1, 0, 1, 65_535, 65_536, 2**33, 2**63 - 1]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    cuts = X.rank_cutoffs(df, X.digits(df, "v"), [F.col("v")], [lambda n, i=i: F.lit(i + 1) for i in range(9)], boundary_rows=1)
+    assert [c.values[0] for c in sorted(cuts, key=lambda c: c.target)] == values
+
+
+def test_a_missing_group_is_a_group(spark):
+    df = spark.createDataFrame([(f"k{i}", None if i % 2 else 1) for i in range(40)], "row_key string, part int")
+    assert sizes(X.smallest_draws(df, "row_key", 7, group="part"), "part") == {(None,): 7, (1,): 7}
