@@ -17,7 +17,7 @@ from flowsieve.sources.schema import GRAPH_NUMERIC
 
 # Fixed values of the ranking.
 DAMPING = 0.85
-MAX_ROUNDS = 80
+MAX_ROUNDS = 200
 TOLERANCE = 1e-6
 
 
@@ -103,70 +103,82 @@ def pagerank(
     edges: DataFrame,
     damping: float = DAMPING,
     max_rounds: int = MAX_ROUNDS,
-    tolerance: float | None = TOLERANCE,
+    tolerance: float = TOLERANCE,
     hot_degree: int = 2_000_000,
     salts: int = 64,
     broadcast_nodes: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Rank of every node, ranks sum to 1.
-
-    One round joins the edges with the current ranks and sums per target (combined map-side). Rank of nodes
-    without outgoing edges is spread evenly. Every round's ranks - one narrow row per node - are written to
-    the shared folder, so plans stay flat and a lost executor costs one round. The driver only sees the
-    total change and the loose rank. Stops when the change is below nodes x ``tolerance``; with
-    ``tolerance=None`` exactly ``max_rounds`` rounds are made. Raises when it does not converge.
+    """Converged rank of every node, ranks sum to 1.
+
+    Ranks solve ``x = (1 - damping) / n + damping * inflow(x)`` and are scaled to sum 1 at the end, which is the same as
+    spreading the rank of nodes without outgoing edges evenly. A node keeps what it has received and not yet passed on;
+    in a round only the active nodes, those that keep more than ``tolerance`` times the least possible rank, pass it on.
+    What is left when no node is active bounds the error of a rank by about ``tolerance``. Few active nodes are
+    broadcast, so late rounds read the edges without a shuffle. Every round's state - one narrow row per node - is
+    written to the shared folder: plans stay flat and a lost executor costs one round. The driver only sees the number
+    of active nodes and the sum of what is kept. Raises when some are left after ``max_rounds``.
     """
     edges = written(edges, "pagerank-edges")
-    ranks = written(node_degrees(edges).select("node", "out_degree"), "pagerank-nodes")
-    n = ranks.count()
+    nodes = written(node_degrees(edges).select("node", "out_degree"), "pagerank-nodes")
+    n = nodes.count()
     if n == 0:
-        return ranks.select("node", F.lit(0.0).alias("rank"))
-    small = n <= broadcast_nodes
+        return nodes.select("node", F.lit(0.0).alias("rank"))
     hot = None
-    if small:
+    if n <= broadcast_nodes:
         links = edges.select(F.col("src").alias("node"), "dst")
     else:
-        links, hot = _spread_links(edges, ranks, hot_degree, salts)
+        links, hot = _spread_links(edges, nodes, hot_degree, salts)
         parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         # Shuffled and sorted once, into the shared folder: a lost executor costs no round.
         links = written(links.repartition(parts, "node", "_salt").sortWithinPartitions("node", "_salt"), "pagerank-links")
-    ranks = ranks.withColumn("rank", F.lit(1.0 / n))
-    loose = ranks.filter(F.col("out_degree") == 0).count() / n
-    for round_no in range(1, max_rounds + 1):
-        shares = ranks.filter(F.col("out_degree") > 0).select(
-            "node", (F.col("rank") / F.col("out_degree")).alias("share")
-        )
-        if small:
-            sent = links.join(F.broadcast(shares), "node")
+
+    def inflow(sending: DataFrame, count: int) -> DataFrame:
+        """Sum per target of what ``sending`` (node, share) passes along its edges, combined map-side."""
+        if count <= broadcast_nodes:
+            sent = links.join(F.broadcast(sending), "node")
         elif hot is None:
-            sent = links.join(shares.withColumn("_salt", F.lit(0)), ["node", "_salt"])
+            sent = links.join(sending.withColumn("_salt", F.lit(0)), ["node", "_salt"])
         else:
             every = F.sequence(F.lit(0), F.lit(salts - 1))
-            copies = shares.join(hot.withColumn("_hot", F.lit(True)), "node", "left").select(
+            copies = sending.join(hot.withColumn("_hot", F.lit(True)), "node", "left").select(
                 "node", "share", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))).alias("_salt")
             )
             sent = links.join(copies, ["node", "_salt"])
-        flow = sent.groupBy(F.col("dst").alias("node")).agg(F.sum("share").alias("flow"))
-        base = (1.0 - damping) / n + damping * loose / n
-        step = ranks.join(flow, "node", "left").select(
+        return sent.groupBy(F.col("dst").alias("node")).agg((F.lit(damping) * F.sum("share")).alias("flow"))
+
+    least = (1.0 - damping) / n
+    active = F.abs("kept") > F.lit(tolerance * least)
+    sends = active & (F.col("out_degree") > 0)
+    arrived = F.coalesce(F.col("flow"), F.lit(0.0))
+    start = inflow(nodes.filter("out_degree > 0").select("node", (F.lit(1.0 / n) / F.col("out_degree")).alias("share")), n)
+    state = nodes.join(start, "node", "left").select(
+        "node", "out_degree", F.lit(1.0 / n).alias("rank"), (F.lit(least - 1.0 / n) + arrived).alias("kept")
+    )
+    for _ in range(max_rounds):
+        state = written(state, "pagerank-ranks")
+        # Any multiple of the ranks will do: the one whose rest sums to 0 leaves only differences between nodes.
+        rest = state.agg(F.sum("kept")).first()[0]
+        scale = (1.0 - damping) / (1.0 - damping - rest)
+        if abs(1.0 - scale) > tolerance:
+            kept = F.lit(scale) * F.col("kept") + F.lit((1.0 - scale) * least)
+            state = state.withColumns({"rank": F.lit(scale) * F.col("rank"), "kept": kept})
+        count, sending = state.agg(F.count_if(active), F.count_if(sends)).first()
+        if count == 0:
+            break
+        passed = state.filter(sends).select("node", (F.col("kept") / F.col("out_degree")).alias("share"))
+        state = state.join(inflow(passed, sending), "node", "left").select(
             "node",
             "out_degree",
-            (F.lit(base) + F.lit(damping) * F.coalesce(F.col("flow"), F.lit(0.0))).alias("rank"),
-            F.abs(
-                F.lit(base) + F.lit(damping) * F.coalesce(F.col("flow"), F.lit(0.0)) - F.col("rank")
-            ).alias("change"),
+            F.when(active, F.col("rank") + F.col("kept")).otherwise(F.col("rank")).alias("rank"),
+            (F.when(active, F.lit(0.0)).otherwise(F.col("kept")) + arrived).alias("kept"),
         )
-        step = written(step, "pagerank-ranks")
-        ranks = step.select("node", "out_degree", "rank")
-        change, loose = step.agg(
-            F.sum("change"), F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0))
-        ).first()
-        if tolerance is not None:
-            if change < n * tolerance:
-                break
-            if round_no == max_rounds:
-                raise RuntimeError(f"ranks did not converge in {max_rounds} rounds (change {change})")
-    return ranks.select("node", "rank")
+    else:
+        state = written(state, "pagerank-ranks")
+        left = state.agg(F.count_if(active)).first()[0]
+        if left:
+            raise RuntimeError(f"ranks did not converge in {max_rounds} rounds ({left} of {n} nodes still change)")
+    total = state.agg(F.sum(F.col("rank") + F.col("kept"))).first()[0]
+    return state.select("node", ((F.col("rank") + F.col("kept")) / F.lit(total)).alias("rank"))
 
 
 def attach_node_scores(

@@ -13,7 +13,10 @@ from flowsieve.sources.schema import ACCOUNT_LOGGED, ACCOUNT_NUMERIC, GRAPH_NUME
 
 TXN = payments_sql()
 SPARSE = payments_sql(SPARSE_ACCOUNTS)
-ROUNDS = 10
+#: SQL repeats the plain power iteration this often, beyond what the digits compared can show.
+ROUNDS = 40
+#: Below the digits compared.
+TOLERANCE = 1e-10
 
 
 def _rounded(df, keys, digits=6):
@@ -80,13 +83,13 @@ def _graph_out(df):
 
 
 def retro_graph(spark, sf_dir):
-    return _graph_out(G.retrospective_features(featured(spark, sf_dir), max_rounds=ROUNDS, tolerance=None))
+    return _graph_out(G.retrospective_features(featured(spark, sf_dir), tolerance=TOLERANCE))
 
 
 def frozen_snapshot(spark, sf_dir):
     split = chronological_split(featured(spark, sf_dir, SPARSE_ACCOUNTS), ["row_key"])
     train, later = split.filter(F.col("split") == "train"), split.filter(F.col("split") != "train")
-    return _graph_out(G.frozen_snapshot_features(later, train, max_rounds=ROUNDS, tolerance=None))
+    return _graph_out(G.frozen_snapshot_features(later, train, tolerance=TOLERANCE))
 
 
 POSITIONS_SQL = """positions AS (SELECT *, row_number() OVER (ORDER BY ts, row_key) AS position, count(*) OVER () AS n_rows FROM txn)"""
@@ -96,7 +99,7 @@ SPLIT_CASE = """CASE WHEN position <= floor(n_rows * CAST(0.6 AS DOUBLE)) THEN '
 
 def pagerank(spark, sf_dir):
     edges = G.edge_list(featured(spark, sf_dir, SPARSE_ACCOUNTS))
-    return G.pagerank(edges, max_rounds=ROUNDS, tolerance=None).select("node", F.round("rank", 9).alias("rank"))
+    return G.pagerank(edges, tolerance=TOLERANCE).select("node", F.round("rank", 9).alias("rank"))
 
 
 def edge_node_lookup(spark, sf_dir):
