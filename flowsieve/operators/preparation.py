@@ -113,6 +113,30 @@ def fit_preparation(
     return fitted
 
 
+def category_cells(df: DataFrame, fitted: Preparation, label: str = "is_laundering") -> DataFrame:
+    """Rows per encoded category, yes/no (``bin`` 1 or 0) and label: columns ``feature``, ``bin``, ``y``, ``n``.
+
+    Every category is counted once per label; what has another category is the rest. Some column must have a category.
+    """
+    names = [c for c in fitted.categorical if fitted.frequent[c] or fitted.rare[c]]
+    kinds = df.select(F.col(label).cast("long").alias("y"), *[fitted.category(c).alias(c) for c in names])
+    counted = kinds.unpivot(["y"], names, "column", "value").groupBy("column", "value", "y").agg(F.count(F.lit(1)).alias("n"))
+    frequent, rare = (
+        F.create_map(*[x for c in names for x in (F.lit(c), F.array(*[F.lit(v) for v in known[c]]).cast("array<string>"))])
+        for known in (fitted.frequent, fitted.rare)
+    )
+    own = F.when(F.array_contains(frequent[F.col("column")], F.col("value")), F.col("value")).when(
+        F.array_contains(rare[F.col("column")], F.col("value")), F.lit(INFREQUENT)
+    )
+    known = counted.withColumn("own", F.concat(F.lit("cat__"), "column", F.lit("_"), own))
+    hits = known.filter("own IS NOT NULL").groupBy(F.col("own").alias("feature"), "y").agg(F.sum("n").alias("n"))
+    labels = known.filter(F.col("column") == names[0]).groupBy("y").agg(F.sum("n").alias("total"))
+    every = hits.select("feature").distinct().join(F.broadcast(labels), how="cross")  # features x classes rows
+    both = every.join(hits, ["feature", "y"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    cells = F.array(*[F.struct(F.lit(b).cast("long").alias("bin"), x.cast("long").alias("n")) for b, x in ((1, F.col("n")), (0, F.col("total") - F.col("n")))])
+    return both.select("feature", "y", F.inline(cells)).filter("n > 0").select("feature", "bin", "y", "n")
+
+
 def mutual_information(
     df: DataFrame, numeric: list[str], categorical: list[str], label: str = "is_laundering", bins: int = 16
 ) -> DataFrame:
@@ -130,23 +154,8 @@ def mutual_information(
     binned = numbers.mapInArrow(_bin_counts(edges), "feature int, bin long, y long, n long")
     named = F.array(*[F.lit(f"num__{c}") for c in numeric])
     parts = [binned.groupBy("feature", "bin", "y").agg(F.sum("n").alias("n")).withColumn("feature", named[F.col("feature")])] if numeric else []
-    # Every category is counted once per label; what has another category is the rest.
-    names = [c for c in categorical if fitted.frequent[c] or fitted.rare[c]]
-    if names:
-        kinds = df.select(F.col(label).cast("long").alias("y"), *[fitted.category(c).alias(c) for c in names])
-        counted = kinds.unpivot(["y"], names, "column", "value").groupBy("column", "value", "y").agg(F.count(F.lit(1)).alias("n"))
-        frequent = F.create_map(*[x for c in names for x in (F.lit(c), F.array(*[F.lit(v) for v in fitted.frequent[c]]).cast("array<string>"))])
-        rare = F.create_map(*[x for c in names for x in (F.lit(c), F.array(*[F.lit(v) for v in fitted.rare[c]]).cast("array<string>"))])
-        own = F.when(F.array_contains(frequent[F.col("column")], F.col("value")), F.col("value")).when(
-            F.array_contains(rare[F.col("column")], F.col("value")), F.lit(INFREQUENT)
-        )
-        known = counted.withColumn("own", F.concat(F.lit("cat__"), "column", F.lit("_"), own))
-        hits = known.filter("own IS NOT NULL").groupBy(F.col("own").alias("feature"), "y").agg(F.sum("n").alias("n"))
-        labels = known.filter(F.col("column") == names[0]).groupBy("y").agg(F.sum("n").alias("total"))
-        every = hits.select("feature").distinct().join(F.broadcast(labels), how="cross")  # features x classes rows
-        both = every.join(hits, ["feature", "y"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-        cells = F.array(*[F.struct(F.lit(b).cast("long").alias("bin"), x.cast("long").alias("n")) for b, x in ((1, F.col("n")), (0, F.col("total") - F.col("n")))])
-        parts.append(both.select("feature", "y", F.inline(cells)).filter("n > 0").select("feature", "bin", "y", "n"))
+    if any(fitted.frequent[c] or fitted.rare[c] for c in categorical):
+        parts.append(category_cells(df, fitted, label).select("feature", "bin", "y", "n"))
     counts = reduce(DataFrame.unionByName, parts)
     # features x bins x classes rows from here on
     by_feature = Window.partitionBy("feature")

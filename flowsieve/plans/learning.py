@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowsieve.operators import models as L
+from flowsieve.operators import neighbours as N
 from flowsieve.operators import preparation as P
 from flowsieve.operators import sampling as X
 from flowsieve.operators import selection as S
@@ -166,12 +167,14 @@ _MATRIX_SQL = f"WITH {TXN}, v AS MATERIALIZED ({base_values_sql('txn')}) " + " U
 )
 
 
-def _mi(spark, sf_dir, fit_on="train"):
+def _train_rows(spark, sf_dir):
     # The split only compares with two cutoffs: the join behind the rows is written before it, the rest is a scan.
     rows = X.stratified_split(written(featured(spark, sf_dir).select(*TRAIN_COLUMNS), "rows"), KEY)
-    if fit_on == "train":
-        rows = rows.filter(F.col("split") == "train")
-    return P.mutual_information(rows, BASE_NUMERIC, CATEGORICAL)
+    return rows.filter(F.col("split") == "train")
+
+
+def _mi(spark, sf_dir):
+    return P.mutual_information(_train_rows(spark, sf_dir), BASE_NUMERIC, CATEGORICAL)
 
 
 def mutual_information(spark, sf_dir):
@@ -202,6 +205,54 @@ v AS MATERIALIZED ({base_values_sql('fit', ', is_laundering AS y')}), cells AS (
 )
 
 
+def neighbour_information(spark, sf_dir):
+    found = N.neighbour_information(_train_rows(spark, sf_dir), BASE_NUMERIC, CATEGORICAL)
+    return found.withColumn("mutual_information", F.round("mutual_information", 7))
+
+
+def _digamma_sql(x: str) -> str:
+    y = f"({x} + 10.0::DOUBLE)"
+    shifted = " - ".join(f"1.0::DOUBLE / ({x} + {i})" for i in range(10))
+    return (
+        f"(ln({y}) - 0.5::DOUBLE / {y} - 1.0::DOUBLE / (12 * {y} * {y}) + 1.0::DOUBLE / (120 * pow({y}, 4))"
+        f" - 1.0::DOUBLE / (252 * pow({y}, 6)) - {shifted})"
+    )
+
+
+def _neighbours_sql(k: int = N.NEIGHBOURS) -> str:
+    """Neighbours by row windows per class, ranges by as-of joins with the running counts."""
+    values = " UNION ALL ".join(
+        [f"SELECT 'num__{n}' AS feature, {n} + CAST(0 AS DOUBLE) AS x, y FROM v" for n in BASE_NUMERIC]
+        + [
+            f"""SELECT 'cat__{c}_' || k, CAST(CASE WHEN {c} = k THEN 1 ELSE 0 END AS DOUBLE), is_laundering
+  FROM fit, (SELECT DISTINCT {c} AS k FROM fit)"""
+            for c in CATEGORICAL
+        ]
+    )
+    near = ", ".join(
+        f"CASE WHEN {side}(n, {j}) OVER w IS NULL THEN [] ELSE list_resize([]::DOUBLE[], least({side}(n, {j}) OVER w, {k}), {d}) END"
+        for j in range(1, k + 1)
+        for side, d in (("lag", f"x - lag(x, {j}) OVER w"), ("lead", f"lead(x, {j}) OVER w - x"))
+    )
+    term = f"{_digamma_sql('CAST(k AS DOUBLE)')} - {_digamma_sql('CAST(ny AS DOUBLE)')} - {_digamma_sql('CAST(m AS DOUBLE)')}"
+    return f"""WITH {TXN}, {SPLIT_SQL}, fit AS MATERIALIZED (SELECT * FROM split_rows WHERE split = 'train'),
+v AS MATERIALIZED ({base_values_sql('fit', ', is_laundering AS y')}),
+cells AS MATERIALIZED (SELECT feature, x, y, count(*) AS n FROM ({values}) GROUP BY ALL),
+sized AS MATERIALIZED (SELECT *, sum(n) OVER (PARTITION BY feature, y) AS ny FROM cells QUALIFY ny > 1),
+sums AS MATERIALIZED (SELECT feature, x, sum(sum(n)) OVER (PARTITION BY feature ORDER BY x) AS upto, sum(n) AS here
+  FROM sized GROUP BY feature, x),
+reach AS (SELECT feature, x, y, n, ny, list_sort(flatten([list_resize([]::DOUBLE[], least(n - 1, {k}), CAST(0 AS DOUBLE)), {near}]))[
+    CAST(least({k}, ny - 1) AS BIGINT)] AS r FROM sized WINDOW w AS (PARTITION BY feature, y ORDER BY x)),
+ends AS (SELECT *, x - r + {N.SLACK} * (abs(x) + r) AS lo, x + r - {N.SLACK} * (abs(x) + r) AS hi FROM reach),
+counted AS (SELECT e.feature, e.n, e.ny, CASE WHEN r = 0 THEN e.n - 1 ELSE least({k}, ny - 1) END AS k,
+    CASE WHEN r = 0 THEN own.here - 1 ELSE greatest(top.upto - coalesce(low.upto, 0), e.n) END AS m
+  FROM ends e JOIN sums own ON own.feature = e.feature AND own.x = e.x
+  ASOF LEFT JOIN sums low ON low.feature = e.feature AND e.lo >= low.x
+  ASOF LEFT JOIN sums top ON top.feature = e.feature AND e.hi > top.x)
+SELECT feature, round(greatest({_digamma_sql('CAST(sum(n) AS DOUBLE)')} + sum(n * ({term})) / sum(n), 0), 7) AS mutual_information
+FROM counted GROUP BY feature"""
+
+
 def top_k_features(spark, sf_dir):
     return top_k(mutual_information(spark, sf_dir), "mutual_information", 10, "feature")
 
@@ -312,6 +363,7 @@ QUERIES = {
     "feature_names": feature_names,
     "encoded_matrix": encoded_matrix,
     "mutual_information": mutual_information,
+    "neighbour_information": neighbour_information,
     "top_k_features": top_k_features,
     "class_weights": class_weights,
     "logistic_scores": _scores(L.LOGISTIC),
@@ -336,6 +388,7 @@ SQL = {
     "feature_names": _NAMES_SQL,
     "encoded_matrix": _MATRIX_SQL,
     "mutual_information": f"""WITH {TXN}, {_MI_CTE} SELECT feature, round(mutual_information, 9) AS mutual_information FROM mi""",
+    "neighbour_information": _neighbours_sql(),
     "top_k_features": f"""WITH {TXN}, {_MI_CTE} SELECT feature, round(mutual_information, 9) AS mutual_information FROM mi
   ORDER BY 2 DESC, 1 LIMIT 10""",
     "class_weights": f"""WITH {TXN} SELECT is_laundering, count(*) AS n,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from flowsieve.operators import metrics as M
 from flowsieve.operators import models as L
+from flowsieve.operators import neighbours as N
 from flowsieve.operators import preparation as P
 from flowsieve.operators import sampling as X
 from flowsieve.operators import selection as S
@@ -123,3 +124,55 @@ def test_top_k_ablation(rows):
     table = {r["feature_set"]: r for r in S.top_k_ablation(rows, ranking, model, sizes=(1,)).collect()}
     assert table["Top-1 mutual information features"]["n_features"] == 1
     assert table["Top-1 mutual information features"]["pr_auc"] > 0.25
+
+
+def brute_information(values, labels, k=3):
+    """All pairs of a few rows."""
+    from collections import Counter
+    from math import fsum, log
+
+    def psi(n):
+        return fsum(1 / i for i in range(1, n)) - 0.5772156649015329
+
+    sizes = Counter(labels)
+    rows = [(x, y) for x, y in zip(values, labels) if sizes[y] > 1]
+    terms = []
+    for i, (x, y) in enumerate(rows):
+        same = sorted(abs(x - a) for j, (a, b) in enumerate(rows) if b == y and j != i)
+        near = min(k, sizes[y] - 1)
+        r = same[near - 1]
+        if r == 0:
+            near, m = same.count(0), sum(a == x for a, _ in rows) - 1
+        else:
+            m = sum(abs(a - x) < r - 1e-12 * (abs(x) + r) for a, _ in rows)
+        terms.append(psi(near) - psi(sizes[y]) - psi(m))
+    return max(0.0, psi(len(rows)) + fsum(terms) / len(rows))
+
+
+@pytest.mark.parametrize("slice_rows", [1_000_000, 9])
+def test_neighbour_information_equals_all_pairs(spark, slice_rows):
+    rng = random.Random(8)
+    rows = []
+    for i in range(500):
+        y = int(rng.random() < 0.3) if i else 7  # one row alone in its class
+        rows.append((y, y + rng.gauss(0, 0.5), round(rng.gauss(0, 1), 1), rng.choice([1.0, 1.0, 1.0, 2.0]), "p" if rng.random() < 0.4 + 0.4 * y else "q"))
+    rows += [(0, None, float("nan"), 1.0, None), (1, float("inf"), 0.25, 2.0, "p"), (None, 1.0, 1.0, 1.0, "p")]
+    df = spark.createDataFrame(rows, "is_laundering int, dense double, grid double, few double, c string").repartition(3)
+    got = {r["feature"]: r["mutual_information"] for r in N.neighbour_information(df, ["dense", "grid", "few"], ["c"], slice_rows=slice_rows).collect()}
+    known = [r for r in rows if r[0] is not None]
+    labels = [r[0] for r in known]
+    for i, c in enumerate(("dense", "grid", "few"), 1):
+        finite = sorted(r[i] for r in known if r[i] is not None and abs(r[i]) < float("inf"))
+        n = len(finite)
+        median = (finite[(n - 1) // 2] + finite[n // 2]) / 2
+        filled = [r[i] if r[i] is not None and abs(r[i]) < float("inf") else median for r in known]
+        assert got[f"num__{c}"] == pytest.approx(brute_information(filled, labels), abs=1e-9), c
+    mode = max("pq", key=lambda v: sum(r[4] == v for r in known))
+    for v in "pq":
+        assert got[f"cat__c_{v}"] == pytest.approx(brute_information([float((r[4] or mode) == v) for r in known], labels), abs=1e-9)
+    assert got["num__dense"] > 0.3 > got["num__few"]
+
+
+def test_neighbour_information_of_no_rows(spark):
+    empty = spark.createDataFrame([], "is_laundering int, x double, c string")
+    assert N.neighbour_information(empty, ["x"], ["c"]).count() == 0

@@ -14,7 +14,7 @@ CORE = [
     "payment_format_rates", "base_features", "quality_profile", "stats_json", "ingest_archives", "history_full",
     "sender_aggregates", "account_features", "pagerank", "frozen_snapshot", "chrono_split", "stratified_folds",
     "average_precision", "roc_curve", "metrics_by_split", "threshold_sweep", "paired_bootstrap", "candidate_rank",
-    "standardize", "mutual_information", "silhouette", "cluster_agreement", "dbscan", "stream_rates",
+    "standardize", "mutual_information", "neighbour_information", "silhouette", "cluster_agreement", "dbscan", "stream_rates",
     "stream_late_rows", "stream_windows", "stream_history", "cluster_max_rate", "txn_cluster_profile",
 ]
 NAMES = sorted(registry.oracle_sql()) if os.environ.get("FLOWSIEVE_ORACLES") == "all" else CORE
