@@ -9,6 +9,7 @@ from flowsieve.operators import accounts as A
 from flowsieve.operators import clustering as K
 from flowsieve.operators import graph as G
 from flowsieve.operators import sampling as X
+from flowsieve.operators.minibatch import minibatch_kmeans
 from flowsieve.plans.graph import ACCOUNTS_SQL, SENDER_SQL
 from flowsieve.plans.star import SPARSE_ACCOUNTS, featured, payments_sql, table
 from flowsieve.session import lookup_join, written
@@ -189,24 +190,28 @@ FROM pts LEFT JOIN numbered m ON account_id = m.node LEFT JOIN border b ON accou
 # ---------------------------------------------------------------- fitted clusterings (no SQL twin)
 
 
-def kmeans_clusters(spark, sf_dir):
-    """All transactions: matrix, PCA, K-means, profile and centroid-based measures."""
-    from pyspark.ml.functions import vector_to_array
+def _transaction_clusters(fit, method):
+    """All transactions: matrix, PCA, clusters by ``fit(points, k)``, profile and centroid-based measures."""
 
-    from flowsieve.operators.preparation import fit_preparation
+    def run(spark, sf_dir):
+        from pyspark.ml.functions import vector_to_array
 
-    setting = K.TRANSACTION_CLUSTERING
-    rows = written(G.retrospective_features(featured(spark, sf_dir)), "graph-rows")
-    fitted = fit_preparation(rows, BASE_NUMERIC + GRAPH_NUMERIC, CATEGORICAL)
-    points = fitted.transform(rows).select(
-        "row_key", "is_laundering", "amount_paid", "sender_out_degree", vector_to_array("features").alias("x")
-    )
-    points = written(K.project(points, K.pca_model(points, setting["dims"])), "projected")
-    clustered = written(K.kmeans(points, setting["k"]), "kmeans")
-    profile = K.transaction_profile(clustered, "cluster", "kmeans")
-    measures = K.silhouette(clustered).withColumn("davies_bouldin", K.davies_bouldin(clustered).scalar())
-    measures = measures.withColumn("calinski_harabasz", K.calinski_harabasz(clustered).scalar())
-    return profile.withColumns({c: F.lit(v) for c, v in measures.first().asDict().items()})
+        from flowsieve.operators.preparation import fit_preparation
+
+        setting = K.TRANSACTION_CLUSTERING
+        rows = written(G.retrospective_features(featured(spark, sf_dir)), "graph-rows")
+        fitted = fit_preparation(rows, BASE_NUMERIC + GRAPH_NUMERIC, CATEGORICAL)
+        points = fitted.transform(rows).select(
+            "row_key", "is_laundering", "amount_paid", "sender_out_degree", vector_to_array("features").alias("x")
+        )
+        points = written(K.project(points, K.pca_model(points, setting["dims"])), "projected")
+        clustered = written(fit(points, setting["k"]), "kmeans")
+        profile = K.transaction_profile(clustered, "cluster", method)
+        measures = K.silhouette(clustered).withColumn("davies_bouldin", K.davies_bouldin(clustered).scalar())
+        measures = measures.withColumn("calinski_harabasz", K.calinski_harabasz(clustered).scalar())
+        return profile.withColumns({c: F.lit(v) for c, v in measures.first().asDict().items()})
+
+    return run
 
 
 def account_clustering(spark, sf_dir):
@@ -261,7 +266,8 @@ QUERIES = {
     "txn_cluster_profile": txn_cluster_profile,
     "account_cluster_profile": account_cluster_profile,
     "dbscan": dbscan,
-    "kmeans_clusters": kmeans_clusters,
+    "kmeans_clusters": _transaction_clusters(K.kmeans, "kmeans"),
+    "minibatch_clusters": _transaction_clusters(lambda points, k: minibatch_kmeans(points, k, "row_key"), "minibatch"),
     "account_clustering": account_clustering,
     "pca_variance": pca_variance,
     "pca_projection": pca_projection,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import uuid
 import zipfile
 
@@ -13,7 +12,8 @@ from flowsieve.functions import columns as C
 from flowsieve.operators import rates as R
 from flowsieve.operators.sampling import smallest_draws
 from flowsieve.plans.star import featured, payments, payments_sql, table
-from flowsieve.session import scratch_path
+from flowsieve.session import scratch_path, written
+from flowsieve.sources import archives as A
 from flowsieve.sources import payments as S
 from flowsieve.sources.schema import CSV_HEADER
 
@@ -50,19 +50,29 @@ def scan_pruned(spark, sf_dir):
     )
 
 
-def _pack(batches):
-    """Every batch of rows becomes one ZIP with the CSV in a sub-folder."""
-    for batch in batches:
-        packed = io.BytesIO()
-        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr(f"export/{S.MEMBER.upper()}", batch.to_csv(index=False, header=CSV_HEADER))
-        yield batch.iloc[:1, :0].assign(path=f"{uuid.uuid4().hex}.zip", content=packed.getvalue())
+def _pack(folder):
+    """Every batch of rows becomes one ZIP below ``folder`` with the CSV in a sub-folder; the rows are the paths."""
+
+    def run(batches):
+        files, root = A.open_folder(folder)
+        for batch in batches:
+            path = f"{root}/{uuid.uuid4().hex}.zip"
+            with files.open_output_stream(path) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr(f"export/{S.MEMBER.upper()}", batch.to_csv(index=False, header=CSV_HEADER))
+            yield batch.iloc[:1, :0].assign(path=path, rows=len(batch))
+
+    return run
 
 
 def ingest_archives(spark, sf_dir):
-    raw = S.raw_columns(payments(spark, sf_dir))
-    archives = raw.mapInPandas(_pack, "path string, content binary")
-    return _by_bank(S.typed(S.unzip_members(archives)))
+    folder = scratch_path(spark, "archives")
+    A.make_folder(folder)
+    packed = S.raw_columns(payments(spark, sf_dir)).mapInPandas(_pack(folder), "path string, rows long")
+    # What a repeated task left behind is in the folder as well, but not in this list.
+    listed = written(packed, "packed")
+    names = F.regexp_extract("path", r"([^/]+)$", 1)
+    rows = S.read_archives(spark, folder, within=listed.select(names.alias("archive")))
+    return _by_bank(rows)
 
 
 def feature_store_roundtrip(spark, sf_dir):

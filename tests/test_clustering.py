@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowsieve.operators import clustering as K
+from flowsieve.operators import minibatch as B
 
 
 def labelled(spark, pairs):
@@ -135,3 +136,29 @@ def test_equal_distances_go_to_the_first_label(spark):
     points = [(i, [2.5 if i % 2 else 6.75, float(rng.random() * 1000), float(rng.random())]) for i in range(4000)]
     rows = K.assign_nearest(spark.createDataFrame(points, "id int, x array<double>"), centroids, [5, 6, 8]).collect()
     assert {(r.id % 2, r.cluster) for r in rows} == {(1, 5), (0, 6)}
+
+
+def _inertia(points, centres):
+    return float(((points[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2).min(axis=1).sum())
+
+
+def test_minibatch_is_near_full_kmeans_under_any_partitioning(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.uniform(-8, 8, (5, 4))
+    points = np.vstack([rng.normal(c, 1.0, (n, 4)) for c, n in zip(centres, (2500, 1500, 700, 300, 1000))])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, x array<double>")
+    options = {"batch": 256, "round_batches": 8}  # several rounds
+    got = [B.fit_centres(part, 5, "id", **options) for part in (df.repartition(1), df.repartition(7, "id"))]
+    assert (got[0] == got[1]).all()
+    full = K.cluster_summary(K.kmeans(df, 5))
+    assert _inertia(points, got[0]) < 1.05 * _inertia(points, np.vstack(full["mean"].to_list()))
+    labelled = B.minibatch_kmeans(df, 5, "id", **options).collect()
+    squares = ((points[:, None, :] - got[0][None, :, :]) ** 2).sum(axis=2)
+    assert [r["cluster"] for r in sorted(labelled, key=lambda r: r["id"])] == squares.argmin(axis=1).tolist()
+
+
+def test_minibatch_of_few_rows(spark):
+    empty = spark.createDataFrame([], "id long, x array<double>")
+    assert B.minibatch_kmeans(empty, 3, "id").count() == 0
+    copies = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(4)] + [(9, None)], "id long, x array<double>")
+    assert B.fit_centres(copies, 3, "id").tolist() == [[1.0, 2.0]] * 3

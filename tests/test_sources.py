@@ -63,6 +63,22 @@ def test_archives(spark, tmp_path):
     assert S.read_folder(spark, str(tmp_path), known_archive="one.zip").count() == 2
 
 
+def test_archives_and_plain_files_read_alike(spark, tmp_path):
+    """Broken numbers, missing fields, quotes, blank lines and lines too long or short."""
+    odd = [
+        "2022/09/01 00:20,x1,800A,10,800B,3.5e,US Dollar,,US Dollar,Wire,0", "2022/09/01 00:21,1,A,2", "",
+        '2022/09/01 00:22,1,"A,B",2,C,1.5,Euro,2.5,Euro,"say ""hi""",1', "2022/09/01 00:23,1,A,2,B,1,Euro,1,Euro,ACH,0,more",
+    ] + [f"2022/09/01 00:24,{i},Ä{i},2,B,1,Euro,1,Euro,ACH,0" for i in range(20_000)]
+    (tmp_path / "plain" / "deep").mkdir(parents=True)
+    (tmp_path / "plain" / "deep" / "Transactions.CSV").write_text("\n".join([HEADER, *odd]) + "\n")
+    (tmp_path / "packed" / "deep").mkdir(parents=True)
+    make_zip(tmp_path / "packed" / "deep" / "one.zip", "transactions.csv", odd)
+    plain, packed = (S.read_folder(spark, str(tmp_path / d)) for d in ("plain", "packed"))
+    assert plain.schema == packed.schema
+    assert plain.exceptAll(packed).isEmpty() and packed.exceptAll(plain).isEmpty() and packed.count() == 20_004
+    assert packed.filter("from_account = 'A,B'").first()["payment_format"] == 'say "hi"'
+
+
 def test_missing_member_is_an_error(spark, tmp_path):
     make_zip(tmp_path / "one.zip", "other.csv", LINES)
     with pytest.raises(Exception, match="holds no"):
