@@ -1,8 +1,8 @@
 """Feature preparation and supervised models.
 
 Preparation has SQL twins. Queries of fitted models return whole scores and metric tables; SQL cannot repeat a fit,
-so the tests check them: counts, metrics computed again from the scores, and that a constant model fails. Queries
-with several fits use fewer trees and solver iterations than the library defaults.
+so the tests check them: counts, metrics computed again from the scores, and that a constant model fails. Models have
+the library's default trees, rounds and iterations; the two grid queries try part of the grid, see the README.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from flowsieve.operators import neighbours as N
 from flowsieve.operators import preparation as P
 from flowsieve.operators import sampling as X
 from flowsieve.operators import selection as S
+from flowsieve.operators.draws import fit_drawn_forest
 from flowsieve.operators.graph import retrospective_features
 from flowsieve.operators.history import add_history_features
 from flowsieve.operators.reports import top_k
@@ -25,14 +26,6 @@ from flowsieve.sources.schema import BASE_NUMERIC, CATEGORICAL, HISTORY_NUMERIC
 
 TXN = payments_sql()
 KEY = "row_key"
-OVERRIDES = {
-    L.LOGISTIC.name: {"max_iter": 25},
-    L.SVM.name: {"max_iter": 25},
-    L.FOREST.name: {"n_estimators": 20},
-    L.FOREST_GRAPH.name: {"n_estimators": 20},
-    L.BOOSTING.name: {"max_iter": 10},
-    L.BOOSTING_GRAPH.name: {"max_iter": 10},
-}
 TRAIN_COLUMNS = [KEY, "ts", "is_laundering", *BASE_NUMERIC, *CATEGORICAL]
 
 # ---------------------------------------------------------------- preparation, with SQL twins
@@ -283,21 +276,28 @@ def whole(scored, *by):
 def _scores(spec):
     def run(spark, sf_dir):
         rows = model_rows(spark, sf_dir)
-        fitted = L.fit_model(spec, rows.filter(F.col("split") == "fit"), OVERRIDES.get(spec.name))
+        fitted = L.fit_model(spec, rows.filter(F.col("split") == "fit"))
         return whole(fitted.score(rows), "split")
 
     return run
 
 
+def balanced_forest_scores(spark, sf_dir):
+    """The forest with classes balanced inside every bootstrap draw."""
+    rows = model_rows(spark, sf_dir)
+    fitted = fit_drawn_forest(rows.filter(F.col("split") == "fit"), BASE_NUMERIC, CATEGORICAL, KEY)
+    return whole(fitted.score(rows), "split")
+
+
 def supervised_metrics(spark, sf_dir):
     """All families with and without graph features, evaluated on train, test and full."""
     rows = model_rows(spark, sf_dir, graph=True)
-    return L.evaluate_models(L.ALL_SPECS, rows, OVERRIDES)[0]
+    return L.evaluate_models(L.ALL_SPECS, rows)[0]
 
 
 def feature_importance(spark, sf_dir):
     rows = model_rows(spark, sf_dir, graph=True)
-    fitted = L.fit_model(L.FOREST_GRAPH, rows.filter(F.col("split") == "fit"), OVERRIDES[L.FOREST_GRAPH.name])
+    fitted = L.fit_model(L.FOREST_GRAPH, rows.filter(F.col("split") == "fit"))
     return fitted.importances(20)
 
 
@@ -307,7 +307,7 @@ GRID_SPECS = [L.LOGISTIC, L.TREE]
 def grid_search(spark, sf_dir):
     rows = model_rows(spark, sf_dir)
     train, test = rows.filter(F.col("split") != "test"), rows.filter(F.col("split") == "test")
-    return S.grid_search(GRID_SPECS, train.drop("split"), test.drop("split"), KEY, overrides=OVERRIDES)[0]
+    return S.grid_search(GRID_SPECS, train.drop("split"), test.drop("split"), KEY)[0]
 
 
 def grid_candidates(spark, sf_dir):
@@ -318,14 +318,14 @@ def grid_candidates(spark, sf_dir):
 
 def oof_scores(spark, sf_dir):
     train = X.stratified_folds(model_rows(spark, sf_dir).filter(F.col("split") != "test").drop("split"), KEY)
-    held = S.cross_validate(L.LOGISTIC, [{"C": 1.0, **OVERRIDES.get(L.LOGISTIC.name, {})}], written(train, "folds"))[1]
-    return whole(held, "fold")
+    held = S.cross_validate(L.LOGISTIC, S.expand(S.GRIDS[L.LOGISTIC.name]), written(train, "folds"))[1]
+    return whole(held, "fold", "params")
 
 
 def topk_retrain(spark, sf_dir):
     rows = model_rows(spark, sf_dir)
     ranking = P.mutual_information(rows.filter(F.col("split") == "fit"), BASE_NUMERIC, CATEGORICAL)
-    return S.top_k_ablation(rows, ranking, L.BOOSTING, overrides=OVERRIDES.get(L.BOOSTING.name))
+    return S.top_k_ablation(rows, ranking, L.BOOSTING)
 
 
 def feature_ablation_table(spark, sf_dir):
@@ -371,6 +371,7 @@ QUERIES = {
     "svm_scores": _scores(L.SVM),
     "forest_scores": _scores(L.FOREST),
     "gbt_scores": _scores(L.BOOSTING),
+    "balanced_forest_scores": balanced_forest_scores,
     "supervised_metrics": supervised_metrics,
     "feature_importance": feature_importance,
     "grid_search": grid_search,

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from flowsieve.operators import draws as D
 from flowsieve.operators import metrics as M
 from flowsieve.operators import models as L
 from flowsieve.operators import neighbours as N
@@ -176,3 +177,25 @@ def test_neighbour_information_equals_all_pairs(spark, slice_rows):
 def test_neighbour_information_of_no_rows(spark):
     empty = spark.createDataFrame([], "is_laundering int, x double, c string")
     assert N.neighbour_information(empty, ["x"], ["c"]).count() == 0
+
+
+def test_draws_are_balanced_poisson_draws(rows):
+    every = rows.select("row_key", "is_laundering")
+    got = D.drawn_rows(every, 3, "row_key")
+    n, weight, copies = {}, {}, {}
+    for r in got.groupBy("is_laundering").agg(F.count("*").alias("n"), F.sum("weight").alias("w"), F.sum("copies").alias("c")).collect():
+        n[r[0]], weight[r[0]], copies[r[0]] = r["n"], r["w"], r["c"]
+    assert weight[0] == pytest.approx(weight[1]) and weight[0] + weight[1] == pytest.approx(sum(copies.values()))
+    assert 0.58 < sum(n.values()) / 1500 < 0.68 and 0.9 < sum(copies.values()) / 1500 < 1.1
+    other = D.drawn_rows(every, 4, "row_key").select("row_key", "copies")
+    assert 0 < got.select("row_key", "copies").exceptAll(other).count()
+    assert got.exceptAll(D.drawn_rows(every.repartition(7), 3, "row_key")).isEmpty()
+
+
+def test_forest_of_balanced_draws(rows):
+    fitted = D.fit_drawn_forest(rows.filter("split = 'fit'"), ["u", "v"], ["c"], "row_key", trees=6, max_depth=5)
+    scored = fitted.score(rows)
+    assert scored.columns == [*rows.columns, "score"] and scored.count() == 1500
+    assert scored.filter("score between 0 and 1").count() == 1500
+    ap = M.ranking_metrics(scored.filter("split = 'test'")).first()
+    assert ap["pr_auc"] > 0.25 and ap["roc_auc"] > 0.75
