@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from flowsieve.llm.batches import small_batches
 from flowsieve.llm.links import components
-from flowsieve.llm.words import CHUNK_BYTES, Words, canonical, chunks, mix, slices
+from flowsieve.llm.words import Words, canonical, chunks, mix, slices
 from flowsieve.session import written
 
 #: Document frequencies are kept in this many rows of this many counters, whatever the size of the corpus.
@@ -22,6 +22,8 @@ SKETCH_ROWS, SKETCH_SLOTS = 4, 1 << 14
 #: A shingle in more than half of all documents has level 0, one in at most 1/32 of them has the last level.
 LEVELS = 5
 _TABLE_BITS = 16
+#: Texts are worked on in pieces of about this many bytes: two workers of an executor hold such a piece, many times over.
+_CHUNK = 1 << 18
 
 
 def weighted_shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -46,10 +48,10 @@ def frequency_sketch(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
 
     def count(batches):
         total, docs = np.zeros((SKETCH_ROWS, SKETCH_SLOTS), np.int64), 0
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, 4 * _CHUNK):
             texts = [canonical(t) for t in batch.column(0).to_pylist()]
             docs += len(texts)
-            for i, j in chunks(texts):
+            for i, j in chunks(texts, _CHUNK):
                 _, shingle, _ = weighted_shingles(Words(texts[i:j]), size)
                 for row in range(SKETCH_ROWS):
                     total[row] += np.bincount(_slots(shingle, row), minlength=SKETCH_SLOTS)
@@ -84,6 +86,14 @@ class Weights:
         owner, shingle, times = weighted_shingles(words, self.size)
         return owner, shingle, times * (1 + self.span * self.levels(shingle) / LEVELS)
 
+    def weigh_all(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``weigh`` of texts of any size together, a piece at a time."""
+        parts = []
+        for i, j in chunks(texts, _CHUNK):
+            owner, shingle, weight = self.weigh(Words(texts[i:j]))
+            parts.append((owner + i, shingle, weight))
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
     def signatures(self, words: Words) -> np.ndarray:
         """Improved consistent weighted samples, one row per text; rows of texts without words are zero.
 
@@ -138,10 +148,10 @@ def sign(texts: DataFrame, weights: Weights, bands: int) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 4 * _CHUNK):
             words = [canonical(t) for t in batch.column(1).to_pylist()]
             keys = []
-            for i, j in chunks(words):
+            for i, j in chunks(words, _CHUNK):
                 signature = shared.value.signatures(Words(words[i:j])).reshape(j - i, bands, rows)
                 key = np.arange(bands, dtype=np.uint64)[None, :]
                 for k in range(rows):
@@ -164,7 +174,7 @@ def _packed(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1)
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, 4 * _CHUNK):
             words = [canonical(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_digest(w) for w in words], pa.binary()), pa.array([pack.compress(w) for w in words])],
@@ -176,7 +186,7 @@ def _packed(texts: DataFrame) -> DataFrame:
 
 def _near_first(texts: list[bytes], weights: Weights, threshold: float) -> np.ndarray:
     """Which of the other texts are similar enough to the first one."""
-    owner, shingle, weight = weights.weigh(Words(texts))
+    owner, shingle, weight = weights.weigh_all(texts)
     first = np.searchsorted(owner, np.arange(len(texts) + 1))
     total = np.add.reduceat(weight, first[:-1])
     order = np.argsort(shingle[: first[1]])
@@ -201,8 +211,8 @@ def verify(pairs: DataFrame, packed: DataFrame, weights: Weights, threshold: flo
             start = 0
             while start < len(a):  # rows with the same b stand together
                 end, size = start, 0
-                while end < len(a) and b[end] == b[start] and size < CHUNK_BYTES:
-                    size += 3 * len(text_a[end])
+                while end < len(a) and b[end] == b[start] and size < _CHUNK:
+                    size += zstandard.frame_content_size(text_a[end])
                     end += 1
                 texts = [unpack.decompress(t) for t in (text_b[start], *text_a[start:end])]
                 near += [start + i for i in _near_first(texts, shared.value, threshold)]
@@ -301,7 +311,7 @@ def _links_of(held: list[pa.RecordBatch], weights: Weights, threshold: float, un
     column = [pa.concat_arrays([b.column(k) for b in held]) for k in range(4, 9)]
     left, is_right = (column[k].to_numpy(zero_copy_only=False) for k in (0, 1))
     names, label = np.unique(np.array(column[2].to_pylist(), object), return_inverse=True)
-    owner, shingle, weight = weights.weigh(Words([unpack.decompress(p.as_py()) for p in column[4]]))
+    owner, shingle, weight = weights.weigh_all([unpack.decompress(p.as_py()) for p in column[4]])
     which, code = np.unique(shingle, return_inverse=True)
     first = np.searchsorted(owner, np.arange(len(left) + 1))
     total = np.add.reduceat(weight, first[:-1])

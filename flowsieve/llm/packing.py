@@ -6,17 +6,15 @@ import re
 import struct
 import unicodedata
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flowsieve.llm.batches import small_batches
 from flowsieve.llm.patterns import plan
-from flowsieve.llm.words import slices
+from flowsieve.llm.words import held, slices
 from flowsieve.session import lookup_join, written
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -85,9 +83,13 @@ class _Encoder:
         return b"".join(map(self.words.__getitem__, _WORD.findall(text)))
 
 
-@lru_cache(1)
 def _encoder(content: str) -> _Encoder:
-    return _Encoder(content)
+    """The encoder that this worker keeps while it encodes."""
+    known = held("encoder")
+    if content not in known:
+        known.clear()
+        known[content] = _Encoder(content)
+    return known[content]
 
 
 def encode(texts: list, content: str) -> list[np.ndarray]:
@@ -158,10 +160,10 @@ def assign(pieces: DataFrame, capacity: int, width: int, parts: int, rows_per_sa
             slots.setdefault(b, []).append((int(taken[b]), sequence - int(taken[b]), place))
             taken[b] += repeats
         sequence += repeats
-    table = spark.createDataFrame(
-        [(b, *(list(c) for c in zip(*rows, strict=True))) for b, rows in slots.items()],
-        T.StructType.fromDDL("bin int, ranks array<long>, shift array<long>, places array<int>"),
-    )
+    kinds = {"bin": pa.int32(), "ranks": pa.list_(pa.int64()), "shift": pa.list_(pa.int64()), "places": pa.list_(pa.int32())}
+    rows = [(b, *(list(c) for c in zip(*rows, strict=True))) for b, rows in slots.items()]
+    columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds.values())]
+    table = spark.createDataFrame(pa.table(columns, names=list(kinds)))  # of Python rows, executors would start more workers
 
     before = Window.partitionBy("bin").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("bin", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))

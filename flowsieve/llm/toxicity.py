@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +14,8 @@ from flowsieve.session import lookup_join, written
 PREFIXES = (4, 5, 6, 7)
 #: Places of the table that leads from a feature to its number.
 _TABLE_BITS = 20
+#: Texts are worked on in pieces of about this many bytes: two workers of an executor hold such a piece, many times over.
+_CHUNK = 1 << 18
 #: Vote patterns that the label model spreads out at a time.
 _BLOCK = 1 << 16
 
@@ -153,7 +153,7 @@ class Model:
     def score(self, texts: list) -> np.ndarray:
         words = [letters(t) for t in texts]
         out = np.full(len(words), self.intercept)
-        for i, j in chunks(words):
+        for i, j in chunks(words, _CHUNK):
             text, number, times = self.table.present(Words(words[i:j]))
             row, place = steps(number, times, self.table.size)
             out[i:j] += np.bincount(text[row], self.weights[place], j - i)
@@ -188,6 +188,9 @@ def fit(
     about ``max_labelled`` labelled documents are drawn by hash, half of them with label 1 if there are so many;
     what is drawn counts for what is not.
     """
+    from pyspark.ml.classification import LogisticRegression  # here, as workers import this module but never fit
+    from pyspark.ml.feature import CountVectorizerModel
+
     if lexicons + len(PATTERNS) + 3 > 39:
         raise ValueError("a vote pattern must fit into 63 bits")
     small_batches(docs.sparkSession)
@@ -203,10 +206,10 @@ def fit(
         return Model(Table(np.zeros(0, np.uint64)), np.zeros(0), 30.0 if n1 else -30.0)
 
     def count(batches):
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, 4 * _CHUNK):
             words = [letters(t) for t in batch.column(0).to_pylist()]
             label = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            for i, j in chunks(words):
+            for i, j in chunks(words, _CHUNK):
                 found = Words(words[i:j])
                 owner, feature, parent = features(found)
                 bit = unlike(found)
@@ -268,10 +271,10 @@ def fit(
 
     def vote(batches):
         table, voter, family = shared.value
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 4 * _CHUNK):
             texts, drawn = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             words, codes, numbers = [letters(t) for t in texts], [], []
-            for i, j in chunks(words):
+            for i, j in chunks(words, _CHUNK):
                 text, number, times = table.present(Words(words[i:j]))
                 votes = np.zeros((j - i, lexicons), np.int64)
                 says = voter[number] >= 0
@@ -306,9 +309,8 @@ def fit(
     post, _ = label_model(unpattern(kinds.code.to_numpy(), voters), -1, times=kinds.n.to_numpy())
     voted = voted.filter("numbers IS NOT NULL")
     used = voted.select("code").distinct().toPandas().code.to_numpy()  # at most max_labelled rows
-    posterior = docs.sparkSession.createDataFrame(
-        [(int(c), float(p)) for c, p in zip(used, post[np.searchsorted(kinds.code.to_numpy(), used)], strict=True)],
-        "code long, p double",
+    posterior = docs.sparkSession.createDataFrame(  # of Python rows, executors would start more workers
+        pa.table([pa.array(used, pa.int64()), pa.array(post[np.searchsorted(kinds.code.to_numpy(), used)])], names=["code", "p"])
     )
     counter = CountVectorizerModel.from_vocabulary(
         [str(k) for k in range(3 * table.size)], inputCol="numbers", outputCol="features", minTF=1
@@ -333,7 +335,7 @@ def score_texts(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in slices(batches, 2):
+        for batch in slices(batches, 2, 4 * _CHUNK):
             score = shared.value.score(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32))],
@@ -354,7 +356,7 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold:
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in slices(batches, at):
+        for batch in slices(batches, at, 4 * _CHUNK):
             yield batch.filter(pa.array(shared.value.score(batch.column(at).to_pylist()) < threshold))
 
     text = F.col(f"`{text_col}`").cast("string")

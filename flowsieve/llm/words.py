@@ -61,15 +61,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Tables that a worker keeps between tasks, of one kind of work at a time.
+_HELD: dict[str, dict] = {}
+
+
+def held(kind: str) -> dict:
+    """What this worker keeps for one kind of work. What it kept for another is dropped: workers serve all stages."""
+    if kind not in _HELD:
+        _HELD.clear()
+        _HELD[kind] = {}
+    return _HELD[kind]
+
+
 #: Powers known so far: one table per worker, which grows with the longest chunk up to _KEPT entries.
-_KNOWN: dict[str, np.ndarray] = {}
 _KEPT = 1 << 21
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """At least ``n`` powers of the base, and of its inverse, modulo 2**64."""
-    if len(_KNOWN.get("base", ())) >= n:
-        return _KNOWN["base"], _KNOWN["inverse"]
+    known = held("powers")
+    if len(known.get("base", ())) >= n:
+        return known["base"], known["inverse"]
     size, out = -(-max(n, 1) // (1 << 18)) << 18, {}
     for name, base in (("base", _BASE), ("inverse", pow(_BASE, -1, 1 << 64))):
         table = np.ones(size, np.uint64)
@@ -80,7 +92,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             have += step
         out[name] = table
     if size <= _KEPT:
-        _KNOWN.update(out)
+        known.update(out)
     return out["base"], out["inverse"]
 
 
