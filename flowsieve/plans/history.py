@@ -30,9 +30,12 @@ GROUPS = {
 }
 
 
+COLUMNS = ["row_key", "ts", "from_account_id", "to_account_id", "amount_paid", "amount_received"]
+
+
 def _query(names):
     def run(spark, sf_dir):
-        history = add_history_features(featured(spark, sf_dir), tie=["row_key"])
+        history = add_history_features(featured(spark, sf_dir).select(*COLUMNS), tie=["row_key"])
         return history.select("row_key", *[F.round(n, 6).alias(n) for n in names])
 
     return run
