@@ -162,3 +162,24 @@ def test_minibatch_of_few_rows(spark):
     assert B.minibatch_kmeans(empty, 3, "id").count() == 0
     copies = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(4)] + [(9, None)], "id long, x array<double>")
     assert B.fit_centres(copies, 3, "id").tolist() == [[1.0, 2.0]] * 3
+
+
+@pytest.mark.parametrize("name", ["kmeans_clusters", "minibatch_clusters"])
+def test_points_are_written_once(spark, monkeypatch, name):
+    from flowsieve.operators.features import add_base_features
+    from flowsieve.plans import clusters
+
+    rng, tables = random.Random(3), []
+    payments = [
+        (f"k{i}", 3600 * i, i % 3, f"a{rng.randrange(12)}", i % 2, f"a{rng.randrange(12)}", rng.uniform(1, 99), rng.choice("xy"), rng.uniform(1, 99), rng.choice("xyz"), rng.choice("pq"), int(i % 9 == 0))
+        for i in range(300)
+    ]
+    df = spark.createDataFrame(
+        payments, "row_key string, t long, from_bank long, from_account string, to_bank long, to_account string, amount_received double, "
+        "receiving_currency string, amount_paid double, payment_currency string, payment_format string, is_laundering int",
+    ).withColumn("ts", F.timestamp_seconds("t"))
+    monkeypatch.setattr(clusters, "featured", lambda *_: add_base_features(df))
+    monkeypatch.setattr(clusters, "written", lambda df, name, write=clusters.written: tables.append(df.columns) or write(df, name))
+    profile = clusters.QUERIES[name](spark, "").collect()
+    assert sum(r["transactions"] for r in profile) == 300
+    assert sum("x" in columns for columns in tables) == 1 and "from_account" not in tables[0]
