@@ -199,3 +199,36 @@ def test_forest_of_balanced_draws(rows):
     assert scored.filter("score between 0 and 1").count() == 1500
     ap = M.ranking_metrics(scored.filter("split = 'test'")).first()
     assert ap["pr_auc"] > 0.25 and ap["roc_auc"] > 0.75
+
+
+@pytest.fixture
+def kept(monkeypatch):
+    """Every table that selection writes, by name."""
+    tables = {}
+
+    def recorded(df, name, write=S.written):
+        tables.setdefault(name, []).append(write(df, name))
+        return tables[name][-1]
+
+    monkeypatch.setattr(S, "written", recorded)
+    return tables
+
+
+def test_temporal_selection_writes_no_vectors(spark, rows, kept):
+    columns = {n: F.lit(0.0) for n in S.HISTORY_NUMERIC} | {n: F.col("u") for n in S.BASE_NUMERIC} | {n: F.col("c") for n in L.CATEGORICAL}
+    timed = rows.withColumns(columns).withColumn("ts", F.timestamp_seconds(F.pmod(F.xxhash64("row_key"), F.lit(1_000_000))))
+    split = X.chronological_split(timed.drop("split"), ["row_key"])
+    result, table, predictions = S.temporal_selection(split, {"learning_rate": [0.1], "class_weight": [None, "balanced"]}, iterations=1)
+    assert result.count() == 2 and table.count() == 4
+    assert predictions.count() == split.filter("split = 'test'").count()
+    assert not [n for n, tables in kept.items() for t in tables if "features" in t.columns]
+
+
+def test_keys_are_kept_for_held_out_scores_only(rows, kept):
+    folded = X.stratified_folds(rows.drop("split"), "row_key")
+    by_fold, held = S.cross_validate(spec(L._tree, max_depth=2), [{"min_samples_leaf": 1}, {"min_samples_leaf": 5}], folded)
+    n = folded.count()
+    parts = {r["part"]: r for r in kept["cv-scores"][0].groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count("row_key").alias("keys")).collect()}
+    assert (parts["train"]["n"], parts["train"]["keys"]) == (4 * n, 0)
+    assert (parts["held"]["n"], parts["held"]["keys"]) == (2 * n, 2 * n)
+    assert held.select("row_key").distinct().count() == n and by_fold.count() == 12
